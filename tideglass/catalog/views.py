@@ -28,14 +28,16 @@ def _float(value: Column | str) -> Column:
 
 def health(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """The 22 health columns; ``keys`` adds columns of the base tables."""
-    # The small sides meet first, so that lineitem is moved once for all order attributes.
+    # Order attributes meet first, so that lineitem moves once for all of them. Lineitem and orders
+    # both grow with the data: that join shuffles whatever the sizes are, so that work after it is
+    # spread, and adaptive execution may split a hot key. The other sides are broadcast if small.
     buyers = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     orders = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )

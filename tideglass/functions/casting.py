@@ -14,6 +14,7 @@ def lenient_cast(column: Column, source: DataType, target: DataType) -> Column:
     """Cast, or null. Whole-number text may carry decimals, which are cut off (``12.7`` -> 12)."""
     if isinstance(source, StringType) and isinstance(target, (IntegerType, LongType)):
         wide = "decimal(38,10)" if isinstance(target, LongType) else "double"
-        number = column.try_cast(wide).try_cast(target)
-        return F.when(column.rlike(PLAIN_NUMBER), number)
+        # Most values are bare digits; the pattern is tested for the others only.
+        cut = F.when(column.rlike(PLAIN_NUMBER), column.try_cast(wide).try_cast(target))
+        return F.coalesce(column.try_cast(target), cut)
     return column.try_cast(target)

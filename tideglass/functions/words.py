@@ -12,14 +12,15 @@ from collections.abc import Collection
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CONTRACTION_ENDINGS = r"(n't|'s|'re|'ve|'ll|'d|'m)\b"
-BREAKS = r"[\s\p{Z},;:?!()\[\]{}<>\"“”„‘’«»`@#$%&*]+|--|\.{2,}"
+CONTRACTION_ENDINGS = r"(?:n't|'(?:s|re|ve|ll|d|m))\b"
+LONG_BREAKS = r"--|\.{2,}"
+ASCII_BREAKS = r"[\t\n\x0b\f\r ,;:?!()\[\]{}<>\"`@#$%&*]+"
+ALL_BREAKS = r"[\t\n\x0b\f\r ,;:?!()\[\]{}<>\"`@#$%&*\p{Z}«»‘-’“-„]+"
 TRAILING = ".'"
-LETTERS = r"^\p{L}+$"
-MIN_LETTERS = 3
+WORD_PIECE = r"^\p{L}{3,}[.']*$"
 
-# Fused forms that count as two words. The second part is always shorter than
-# MIN_LETTERS (or a stop word), so only the first one is kept.
+# Fused forms that count as two words. The second part is too short to count or a
+# stop word, so only the first one is kept.
 FUSED_FORMS = {
     "cannot": "can",
     "gimme": "gim",
@@ -47,13 +48,28 @@ ENGLISH_STOP_WORDS = tuple("""
 
 
 def token_pieces(text: Column) -> Column:
-    """Array of raw pieces of a text, words or not."""
-    plain = F.regexp_replace(F.lower(text), CONTRACTION_ENDINGS, " ")
-    return F.split(plain, BREAKS)
+    """Array of raw pieces of a text, words or not.
+
+    The costly patterns run only on texts that a plain search says may hold something for them.
+    """
+    plain = F.lower(text)
+    plain = F.when(
+        text.contains("'"), F.regexp_replace(plain, CONTRACTION_ENDINGS, " ")
+    ).otherwise(plain)
+    plain = F.when(
+        text.contains("--") | text.contains(".."), F.regexp_replace(plain, LONG_BREAKS, " ")
+    ).otherwise(plain)
+    is_ascii = F.octet_length(text) == F.length(text)
+    return F.split(plain, F.when(is_ascii, ASCII_BREAKS).otherwise(ALL_BREAKS))
+
+
+def is_word_piece(piece: Column) -> Column:
+    """At least three letters and nothing else, but for trailing dots and quotes."""
+    return piece.rlike(WORD_PIECE)
 
 
 def word_form(piece: Column) -> Column:
-    """The word a piece stands for: trailing dots and quotes off, fused forms cut to their first part."""
+    """The word a piece stands for: trailing dots and quotes off, fused forms cut to one word."""
     bare = F.rtrim(piece, F.lit(TRAILING))
     form = bare
     for fused, first in FUSED_FORMS.items():
@@ -61,13 +77,11 @@ def word_form(piece: Column) -> Column:
     return form
 
 
-def is_word(form: Column, stop_words: Collection[str] = ENGLISH_STOP_WORDS) -> Column:
-    keep = (F.length(form) >= MIN_LETTERS) & form.rlike(LETTERS)
-    return keep & ~form.isin(*stop_words) if stop_words else keep
+def is_content_word(form: Column, stop_words: Collection[str] = ENGLISH_STOP_WORDS) -> Column:
+    return ~form.isin(*stop_words) if stop_words else F.lit(True)
 
 
 def tokens(text: Column, stop_words: Collection[str] = ENGLISH_STOP_WORDS) -> Column:
     """Array of the words of a text, in order."""
-    return F.filter(
-        F.transform(token_pieces(text), word_form), lambda form: is_word(form, stop_words)
-    )
+    words = F.transform(F.filter(token_pieces(text), is_word_piece), word_form)
+    return F.filter(words, lambda form: is_content_word(form, stop_words))

@@ -13,8 +13,8 @@ from tideglass.functions.casting import lenient_cast
 # Replacements that make a column name safe for Parquet, applied in this order.
 NAME_RULES = [(" (%)", "_Percent"), (" ", "_"), ("(", ""), (")", ""), ("/", "_"), ("-", "_")]
 
-# Fixed value: all characters but digits, hyphen, plus and white space.
-NOT_AGE_CHARACTERS = r"[^0-9\-+\s]"
+# Fixed value: runs of characters other than digits, hyphen, plus and white space.
+NOT_AGE_CHARACTERS = r"[^0-9\-+\s]+"
 
 
 def normalize_name(name: str) -> str:

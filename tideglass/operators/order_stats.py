@@ -22,10 +22,10 @@ GATHER_LIMIT = 20_000
 
 @dataclass
 class _Bracket:
-    """An open range of values that holds the wanted rank (0-based)."""
+    """An open range of values of a column and the ranks (0-based) that fall into it."""
 
     column: str
-    rank: int
+    ranks: list[int]
     inside: int
     below: int = 0
     low: float | None = None
@@ -42,6 +42,16 @@ class _Bracket:
             value = F.when(test, value)
         return value
 
+    def neighbours(self) -> list[list[int]]:
+        """Ranks in runs of adjacent ones, which one pair of borders can serve."""
+        runs: list[list[int]] = []
+        for rank in sorted(self.ranks):
+            if runs and rank - runs[-1][-1] <= 1:
+                runs[-1].append(rank)
+            else:
+                runs.append([rank])
+        return runs
+
 
 def order_statistics(
     df: DataFrame,
@@ -52,22 +62,22 @@ def order_statistics(
 ) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks of the non-null values of each column. ``counts`` are their numbers."""
     found: dict[tuple[str, int], float] = {}
-    open_brackets = [
-        _Bracket(column, rank, counts[column])
-        for column, ranks in wanted.items()
-        for rank in sorted(set(ranks))
+    brackets = [
+        _Bracket(column, sorted(set(ranks)), counts[column]) for column, ranks in wanted.items()
     ]
-    while open_brackets:
-        small = [b for b in open_brackets if b.inside <= gather_limit]
-        large = [b for b in open_brackets if b.inside > gather_limit]
+    while brackets:
+        small = [b for b in brackets if b.inside <= gather_limit]
+        large = [b for b in brackets if b.inside > gather_limit]
         if small:
-            picks = [
-                F.element_at(F.sort_array(F.collect_list(b.value_inside())), b.rank - b.below + 1)
-                for b in small
-            ]
-            for bracket, value in zip(small, _one_row(df, picks)):
-                found[bracket.column, bracket.rank] = value
-        open_brackets = _narrow(df, large, found, accuracy) if large else []
+            picks = []
+            for b in small:
+                ordered = F.sort_array(F.collect_list(b.value_inside()))
+                picks.append(
+                    F.array(*[F.element_at(ordered, rank - b.below + 1) for rank in b.ranks])
+                )
+            for b, values in zip(small, _one_row(df, picks)):
+                found.update({(b.column, rank): v for rank, v in zip(b.ranks, values)})
+        brackets = _narrow(df, large, found, accuracy) if large else []
     return found
 
 
@@ -77,39 +87,50 @@ def _narrow(
     found: dict[tuple[str, int], float],
     accuracy: int,
 ) -> list[_Bracket]:
-    # Both borders lie two sketch errors away from the rank, on either side.
+    # Borders lie two sketch errors away from the ranks, on either side; one sketch per bracket.
     sketches = []
     for b in brackets:
-        middle = (b.rank - b.below + 0.5) / b.inside
-        borders = [max(0.0, middle - 2 / accuracy), min(1.0, middle + 2 / accuracy)]
-        sketches.append(F.percentile_approx(b.value_inside(), borders, accuracy))
+        shares = []
+        for run in b.neighbours():
+            first, last = ((rank - b.below + 0.5) / b.inside for rank in (run[0], run[-1]))
+            shares += [max(0.0, first - 2 / accuracy), min(1.0, last + 2 / accuracy)]
+        sketches.append(F.percentile_approx(b.value_inside(), shares, accuracy))
     edges = _one_row(df, sketches)
 
-    tallies = []
-    for b, (low, high) in zip(brackets, edges):
+    pieces, tallies = [], []
+    for b, borders in zip(brackets, edges):
         value = b.value_inside()
-        tests = [value < low, value == low, (value > low) & (value < high), value == high]
-        tallies.append(F.struct(*[F.count_if(t).alias(f"t{i}") for i, t in enumerate(tests)]))
-    still_open = []
-    for b, (low, high), tally in zip(brackets, edges, _one_row(df, tallies)):
-        under, at_low, between, at_high = tally
-        position = b.rank - b.below
-        if position < under:
-            b.high, b.inside = low, under
-        elif position < under + at_low:
-            found[b.column, b.rank] = low
-            continue
-        elif position < under + at_low + between:
-            b.low, b.high = low, high
-            b.below, b.inside = b.below + under + at_low, between
-        elif position < under + at_low + between + at_high:
-            found[b.column, b.rank] = high
-            continue
-        else:
-            passed = under + at_low + between + at_high
-            b.low, b.below, b.inside = high, b.below + passed, b.inside - passed
-        still_open.append(b)
-    return still_open
+        for i, run in enumerate(b.neighbours()):
+            low, high = borders[2 * i], borders[2 * i + 1]
+            tests = [value < low, value == low, (value > low) & (value < high), value == high]
+            tally = F.struct(*[F.count_if(t).alias(f"t{k}") for k, t in enumerate(tests)])
+            pieces.append((b, run, low, high))
+            tallies.append(tally)
+
+    narrowed: dict[tuple, _Bracket] = {}
+
+    def put(b: _Bracket, rank: int, below: int, inside: int, low, high) -> None:
+        key = (b.column, low, high)
+        part = narrowed.setdefault(key, _Bracket(b.column, [], inside, below, low, high))
+        part.ranks.append(rank)
+
+    for (b, run, low, high), (under, at_low, between, at_high) in zip(pieces, _one_row(df, tallies)):
+        if low == high:
+            at_high = 0
+        for rank in run:
+            position = rank - b.below
+            if position < under:
+                put(b, rank, b.below, under, b.low, low)
+            elif position < under + at_low:
+                found[b.column, rank] = low
+            elif position < under + at_low + between:
+                put(b, rank, b.below + under + at_low, between, low, high)
+            elif position < under + at_low + between + at_high:
+                found[b.column, rank] = high
+            else:
+                passed = under + at_low + between + at_high
+                put(b, rank, b.below + passed, b.inside - passed, high, b.high)
+    return list(narrowed.values())
 
 
 def _one_row(df: DataFrame, aggregates: list[Column]) -> list:

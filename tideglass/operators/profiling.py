@@ -81,32 +81,30 @@ def distinct_profile(
     """Distinct values per column (null counts as one), listed as text if below ``limit``.
 
     The values of all columns go through one grouping on (column, value): copies collapse in the
-    map tasks and the rest spreads by value, so no column is gathered. Both uses of the result
-    share its shuffle. Only lists shorter than ``limit`` are ever built.
+    map tasks and the rest spreads by value, so no column is gathered. The counts, a row per
+    column, come back on call; then only columns with short lists are read again.
     """
     columns = list(columns or df.columns)
-    types = {field.name: field.dataType for field in df.schema}
-    text = [_as_text(name, types[name]) for name in columns]
-    pairs = df.select(text).unpivot([], columns, "column", "value").groupBy("column", "value")
-    # Counting the rows keeps this a plain grouping that both branches below ask for alike.
-    pairs = pairs.agg(F.count("*").alias("rows"))
-    totals = pairs.groupBy("column").agg(
-        F.count("*").alias("num_unique"), F.sum("rows").alias("num_rows")
-    )
-    # One row per column, so this side is as small as the schema.
-    short = F.broadcast(totals.filter(F.col("num_unique") < limit).select("column"))
-    lists = (
-        pairs.join(short, "column", "left_semi")
-        .groupBy("column")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.coalesce("value", F.lit("<null>")))
-            ).alias("values")
-        )
+    counts = _distinct_pairs(df, columns).groupBy("column").count().collect()
+    totals = {row["column"]: row["count"] for row in counts}
+    profile = df.sparkSession.createDataFrame(
+        [(name, totals.get(name, 0)) for name in columns], "column string, num_unique bigint"
     )
-    return totals.join(F.broadcast(lists), "column", "left").select(
-        "column", "num_unique", F.array_join("values", ", ").alias("values")
+    short = [name for name in columns if 0 < totals.get(name, 0) < limit]
+    if not short:
+        return profile.withColumn("values", F.lit(None).cast("string"))
+    ordered = F.array_sort(F.collect_list(F.coalesce("value", F.lit("<null>"))))
+    lists = _distinct_pairs(df, short).groupBy("column").agg(
+        F.array_join(ordered, ", ").alias("values")
     )
+    # Both sides have a row per column at most.
+    return profile.join(F.broadcast(lists), "column", "left")
+
+
+def _distinct_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    types = {field.name: field.dataType for field in df.schema}
+    text = df.select([_as_text(name, types[name]) for name in columns])
+    return text.unpivot([], columns, "column", "value").distinct()
 
 
 def _as_text(name: str, data_type) -> Column:

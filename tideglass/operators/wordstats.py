@@ -7,7 +7,13 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideglass.functions.words import ENGLISH_STOP_WORDS, is_word, token_pieces, word_form
+from tideglass.functions.words import (
+    ENGLISH_STOP_WORDS,
+    is_content_word,
+    is_word_piece,
+    token_pieces,
+    word_form,
+)
 
 
 def word_rows(
@@ -19,8 +25,9 @@ def word_rows(
     """T: one row per word occurrence. Exploding first keeps the word tests in generated code."""
     keys = [by] if by else []
     pieces = df.select(*keys, F.explode(token_pieces(F.col(text))).alias("_piece"))
-    words = pieces.select(*keys, word_form(F.col("_piece")).alias("word"))
-    return words.filter(is_word(F.col("word"), stop_words))
+    kept = pieces.filter(is_word_piece(F.col("_piece")))
+    words = kept.select(*keys, word_form(F.col("_piece")).alias("word"))
+    return words.filter(is_content_word(F.col("word"), stop_words))
 
 
 def word_counts(

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tideglass.operators.cleaning import model_rows
-from tideglass.operators.dedup import split_rows
+from tideglass.operators.dedup import hash_bucket
 from tideglass.operators.features import (
     check_label_counts,
     regression_metrics,
@@ -17,6 +18,8 @@ from tideglass.operators.features import (
 from tideglass.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tideglass.session import materialize
 
+FIT_SIDE = "_fit"
+
 
 @dataclass(frozen=True)
 class Training:
@@ -35,17 +38,19 @@ def train(
 ) -> Training | None:
     """Fit on ``pct`` percent of the complete rows, score and measure the others.
 
-    The rows are written once: the fit reads them many times, and re-reading a table survives lost
-    executors without running the plan behind it again. No complete rows means no model.
+    The rows are written once, with their side of the split: the fit reads them many times, and
+    re-reading a table survives lost executors without running the plan behind it again. No
+    complete rows means no model.
     """
     features = [*numeric, *categorical]
-    rows = materialize(
-        silver.sparkSession, model_rows(silver, features, target), "model-rows"
-    )
+    rows = model_rows(silver, features, target)
+    rows = rows.withColumn(FIT_SIDE, hash_bucket(rows.columns) < pct)
+    rows = materialize(silver.sparkSession, rows, "model-rows")
     if rows.isEmpty():
         return None
     check_label_counts(rows, categorical)
-    fit_rows, test_rows = split_rows(rows, [*features, target], pct)
+    fit_rows = rows.filter(FIT_SIDE).drop(FIT_SIDE)
+    test_rows = rows.filter(~F.col(FIT_SIDE)).drop(FIT_SIDE)
     model = regression_pipeline(numeric, categorical, target, **forest).fit(fit_rows)
     predictions = model.transform(test_rows)
     return Training(model, predictions, regression_metrics(predictions, target))
