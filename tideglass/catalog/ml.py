@@ -102,7 +102,7 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("train_and_score")
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load, and score the held-out rows with the loaded model."""
-    training = train(health(spark, sf_dir))
+    training = train(health(spark, sf_dir), staged=True)
     path = scratch_path(spark, "model")
     save_model(training.model, path)
     held_out = training.predictions.select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET)

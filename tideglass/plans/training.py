@@ -34,18 +34,20 @@ def train(
     categorical: list[str] = CATEGORICAL_FEATURES,
     target: str = TARGET,
     pct: int = 80,
+    staged: bool = False,
     **forest,
 ) -> Training | None:
     """Fit on ``pct`` percent of the complete rows, score and measure the others.
 
-    The rows are written once, with their side of the split: the fit reads them many times, and
-    re-reading a table survives lost executors without running the plan behind it again. No
-    complete rows means no model.
+    The fit reads the rows several times. From a table that is a pruned scan each time, which
+    survives lost executors. If ``silver`` is the result of joins, ``staged`` writes the rows once,
+    with their side of the split, so that the joins run once. No complete rows means no model.
     """
     features = [*numeric, *categorical]
     rows = model_rows(silver, features, target)
     rows = rows.withColumn(FIT_SIDE, hash_bucket(rows.columns) < pct)
-    rows = materialize(silver.sparkSession, rows, "model-rows")
+    if staged:
+        rows = materialize(silver.sparkSession, rows, "model-rows")
     if rows.isEmpty():
         return None
     check_label_counts(rows, categorical)

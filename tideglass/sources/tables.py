@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -95,10 +97,24 @@ def write_table(
 
     ``cluster_by`` range-partitions and sorts, so that readers skip row groups by min/max. End the
     list with a well-spread column such as ``record_hash``: then a value held by a large share of
-    the rows is spread over many files. Spark refuses to overwrite a folder the plan reads.
+    the rows is spread over many files. A plan that reads the folder it would overwrite is refused,
+    since Spark would delete the files first.
     """
+    if _reads(df, path):
+        raise ValueError(f"the plan reads {path}, which it would overwrite")
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     written = read_table(df.sparkSession, path)
     return written if sample is None else written.limit(sample)
+
+
+def _reads(df: DataFrame, path: str) -> bool:
+    target = urlparse(path)
+    folder = target.path if target.scheme else os.path.abspath(path)
+    for name in df.inputFiles():
+        file = urlparse(name)
+        same_store = not target.scheme or target.netloc == file.netloc
+        if same_store and unquote(file.path).startswith(folder.rstrip("/") + "/"):
+            return True
+    return False

@@ -35,19 +35,23 @@ def silver_by_state(
 def append_new_rows(batch: DataFrame, path: str) -> None:
     """Append the rows of a batch whose fingerprints the table does not have yet.
 
-    First the table's fingerprints are cut down to those in the batch: one column is read, and a
-    batch small enough to broadcast leaves the table unshuffled. Only what matched meets the batch.
-    Running a batch again adds nothing.
+    First the table's fingerprints are cut down to those in the batch: one column is read, and
+    since the size of the cached batch is known, Spark broadcasts it if small and leaves the table
+    unshuffled. Only what matched meets the batch. Running a batch again adds nothing, and a batch
+    without rows writes nothing.
     """
     rows = dedup(batch, order_by=[name for name in batch.columns if name != HASH_COLUMN])
     table = read_table_or_none(batch.sparkSession, path)
     rows.persist()
     try:
+        if rows.count() == 0:
+            return
+        new_rows = rows
         if table is not None:
-            known = table.select(HASH_COLUMN).join(rows.select(HASH_COLUMN), HASH_COLUMN, "left_semi")
+            known = table.select(HASH_COLUMN).join(
+                rows.select(HASH_COLUMN), HASH_COLUMN, "left_semi"
+            )
             new_rows = rows.join(known, HASH_COLUMN, "left_anti").select(rows.columns)
-        else:
-            new_rows = rows
         new_rows.write.mode("append").parquet(path)
     finally:
         rows.unpersist()
