@@ -64,7 +64,7 @@ def test_order_of_marts(spark, frame):
 
 
 def peaks(spark):
-    rows = [(2003, "a", 4), (2001, "a", 1), (2001, "b", 3), (2002, "a", 4), (2004, "a", None)]
+    rows = [(2003, "a", 4), (2001, "a", 1), (2001, "b", 3), (2002, "a", 4), (2004, "a", None), (None, "a", 9)]
     return spark.createDataFrame(rows, "Year int, c string, v bigint")
 
 

@@ -105,6 +105,13 @@ def test_histogram_matches_numpy(spark):
     assert sum(r["count"] for r in rows) == len(items)
 
 
+@pytest.mark.parametrize("bins", [7, 10, 30, 33])
+def test_histogram_of_values_on_borders(spark, bins):
+    items = [i * 0.1 for i in range(100)] + [i / 3 for i in range(31)]
+    rows = profiling.histogram(doubles(spark, items), "x", bins).orderBy("bin").collect()
+    assert [r["count"] for r in rows] == list(np.histogram(items, bins=bins)[0])
+
+
 def test_histogram_edges(spark):
     constant = profiling.histogram(doubles(spark, [5.0, 5.0]), "x").collect()
     assert [(r["bin"], r["count"]) for r in constant] == [(0, 2)]

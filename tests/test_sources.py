@@ -5,7 +5,13 @@ from pyspark.errors import AnalysisException
 
 from tideglass import sources
 from tideglass.schemas import ABSTRACT_SCHEMA, REQUEST_SCHEMA
-from tideglass.session import broker_address, scratch_path, storage_conf
+from tideglass.session import (
+    broker_address,
+    scratch_path,
+    shared_folder,
+    shuffle_conf,
+    storage_conf,
+)
 
 
 def test_storage_conf_defaults_and_environment():
@@ -116,3 +122,33 @@ def test_clustered_lookup_is_pushed_down(spark, tmp_path):
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class FakeSession:
+    """A session without the setting, on a given master."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    assert shared_folder(FakeSession("local[2]")) == shared_folder(FakeSession("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_folder(FakeSession("yarn"))
+
+
+def test_shuffle_conf():
+    key = "spark.sql.shuffle.partitions"
+    assert shuffle_conf(10**6, cores=8)[key] == "16"
+    assert shuffle_conf(10**12, cores=8)[key] == "3726"
+    assert shuffle_conf(10**14, cores=8000)[key] == "50000"
+
+
+def test_spread_scan_leaves_wide_scans_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(1).write.parquet(path)
+    narrow = sources.spread_scan(spark.read.parquet(path))
+    assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 32)
+    assert sources.spread_scan(wide) is wide

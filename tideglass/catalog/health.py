@@ -28,7 +28,7 @@ from tideglass.schemas import (
 )
 
 COUNTRY = "NATION_7"
-FLAG_PREFIX = "http://localhost:9000/flags/"
+FLAG_PREFIX = "https://flags.example/"
 
 # --- Silver ---------------------------------------------------------------------------------
 

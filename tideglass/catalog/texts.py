@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideglass.catalog.registry import query
 from tideglass.catalog.views import ABSTRACTS_SQL, abstracts, table
 from tideglass.functions.words import ENGLISH_STOP_WORDS
+from tideglass.functions.words import tokens as words_of
 from tideglass.operators import dedup, lookups, wordstats
+from tideglass.sources import spread_scan
 
 _STOP_SQL = ", ".join(f"'{word}'" for word in ENGLISH_STOP_WORDS)
 
@@ -54,7 +57,7 @@ def distinct_langs(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT word, count(*) AS count FROM kept GROUP BY word""",
 )
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.word_counts(abstracts(spark, sf_dir))
+    return wordstats.word_counts(spread_scan(abstracts(spark, sf_dir)))
 
 
 @query(
@@ -63,7 +66,7 @@ def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT label, word, count(*) AS count FROM kept GROUP BY label, word""",
 )
 def word_counts_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.word_counts(abstracts(spark, sf_dir), by="label")
+    return wordstats.word_counts(spread_scan(abstracts(spark, sf_dir)), by="label")
 
 
 @query(
@@ -73,7 +76,8 @@ def word_counts_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY count DESC, word LIMIT 20""",
 )
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.top_words(lookups.lookup(abstracts(spark, sf_dir), "label", "economy"))
+    chosen = lookups.lookup(abstracts(spark, sf_dir), "label", "economy")
+    return wordstats.top_words(spread_scan(chosen))
 
 
 @query(
@@ -84,7 +88,7 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY label ORDER BY count DESC, word) <= 20""",
 )
 def top_words_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.top_words(abstracts(spark, sf_dir), by="label")
+    return wordstats.top_words(spread_scan(abstracts(spark, sf_dir)), by="label")
 
 
 @query(
@@ -94,11 +98,7 @@ def top_words_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY doc_id""",
 )
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from tideglass.functions.words import tokens as words_of
-
-    rows = table(spark, sf_dir, "documents")
+    rows = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
 
 

@@ -48,7 +48,7 @@ def peak_year(df: DataFrame, metric: str, how: str, year: str = "Year") -> DataF
     per_year = df.groupBy(year).agg(PEAK_AGGREGATES[how](metric).alias("value"))
     best = F.max(F.struct("value", (-F.col(year)).alias("minus_year"))).alias("best")
     return (
-        per_year.filter(F.col("value").isNotNull())
+        per_year.filter(F.col("value").isNotNull() & F.col(year).isNotNull())
         .agg(best)
         .select((-F.col("best.minus_year")).alias("peak_year"), F.col("best.value").alias("value"))
     )

@@ -133,7 +133,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; empty bins included.
 
     The range is a scalar subquery, so this is one plan: a scan for the range, a scan that counts
-    into at most ``bins`` rows per task. A constant column is one bin.
+    into at most ``bins`` rows per task. A value is in the bin whose printed borders hold it, also
+    where division would round to a neighbour. A constant column is one bin.
     """
     values = _values(df, column)
     bounds = values.agg(
@@ -141,9 +142,17 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     ).scalar()
     low, high = bounds.getField("low"), bounds.getField("high")
     width = (high - low) / F.lit(float(bins))
-    place = F.when(high > low, F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)))
+    value, last = F.col("v"), F.lit(bins - 1)
+    guess = F.when(high > low, F.least(F.floor((value - low) / width), last))
+    placed = values.select("v", F.coalesce(guess, F.lit(0)).cast("int").alias("guess"))
+    guess = F.col("guess")
+    place = (
+        F.when(value < low + guess * width, guess - 1)
+        .when((guess < last) & (value >= low + (guess + 1) * width) & (high > low), guess + 1)
+        .otherwise(guess)
+    )
     counted = (
-        values.select(F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
+        placed.select(place.alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("count"))
     )
@@ -172,47 +181,38 @@ def density(df: DataFrame, column: str, points: int = 200, bins: int = 30) -> Da
     """
     values = _values(df, column)
     stats = values.agg(
-        F.struct(
-            F.count("v").alias("n"),
-            F.min("v").alias("low"),
-            F.max("v").alias("high"),
-            (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
-        ).alias("stats")
-    ).scalar()
-    n, low, high, h = (stats.getField(name) for name in ("n", "low", "high", "h"))
-    step = (high - low) / F.lit(float(points - 1))
-    usable = h > 0
-
-    # The statistics become columns once, next to each value, and then feed plain arithmetic.
-    rows = values.filter(usable).select(
-        "v", low.alias("low"), h.alias("h"), step.alias("step")
-    )
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
+        F.count("v").alias("n"),
+    ).filter(F.col("h") > 0)
+    stats = stats.withColumn("step", (F.col("high") - F.col("low")) / F.lit(float(points - 1)))
+
+    # A scalar subquery puts the statistics next to each value.
+    one = stats.select(F.struct("low", "h", "step").alias("s")).scalar()
+    rows = values.select("v", one.alias("s")).select("v", "s.low", "s.h", "s.step")
     reach = F.lit(KERNEL_REACH) * F.col("h")
-    first = F.greatest(
-        F.lit(0), F.ceil((F.col("v") - reach - F.col("low")) / F.col("step")).cast("int")
-    )
-    last = F.least(
-        F.lit(points - 1), F.floor((F.col("v") + reach - F.col("low")) / F.col("step")).cast("int")
-    )
-    near = rows.select("v", "low", "h", "step", first.alias("first"), last.alias("last"))
-    near = near.filter(F.col("first") <= F.col("last"))
+    first = F.ceil((F.col("v") - reach - F.col("low")) / F.col("step")).cast("int")
+    last = F.floor((F.col("v") + reach - F.col("low")) / F.col("step")).cast("int")
+    near = rows.select(
+        "*",
+        F.greatest(F.lit(0), first).alias("first"),
+        F.least(F.lit(points - 1), last).alias("last"),
+    ).filter(F.col("first") <= F.col("last"))
     hits = near.select(
         "v", "low", "h", "step", F.explode(F.sequence("first", "last")).alias("point")
     )
     offset = (F.col("low") + F.col("point") * F.col("step") - F.col("v")) / F.col("h")
     sums = hits.groupBy("point").agg(F.sum(F.exp(offset * offset * -0.5)).alias("total"))
 
-    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
-    scale = n * h * F.sqrt(F.lit(2.0) * F.pi())
+    grid = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    scale = F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi())
     value = F.coalesce("total", F.lit(0.0)) / scale
+    bin_width = (F.col("high") - F.col("low")) / F.lit(float(bins))
     # At most ``points`` rows.
-    return (
-        grid.join(F.broadcast(sums), "point", "left")
-        .filter(usable)
-        .select(
-            "point",
-            (low + F.col("point") * step).alias("x"),
-            value.alias("density"),
-            (value * n * (high - low) / F.lit(float(bins))).alias("curve"),
-        )
+    return grid.join(F.broadcast(sums), "point", "left").select(
+        "point",
+        (F.col("low") + F.col("point") * F.col("step")).alias("x"),
+        value.alias("density"),
+        (value * F.col("n") * bin_width).alias("curve"),
     )

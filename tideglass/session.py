@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -65,6 +66,28 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shuffle_conf(
+    shuffle_bytes: int,
+    cores: int,
+    partition_bytes: int = 256 * 1024**2,
+    most: int = 50_000,
+) -> dict[str, str]:
+    """Shuffle settings for a stage that moves ``shuffle_bytes``: two waves of tasks at least, and
+    partitions of about ``partition_bytes``. Past ``most`` partitions the bookkeeping per map task
+    costs more than spilling does, so partitions then grow instead. Adaptive execution merges what
+    turns out small."""
+    wanted = -(-shuffle_bytes // partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(max(2 * cores, min(wanted, most))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tideglass-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -72,9 +95,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="tideglass-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,12 +2,13 @@ from tideglass.sources.kafka import kafka_sink_options, kafka_source_options, re
 from tideglass.sources.messages import decode_messages, publish_messages, to_messages
 from tideglass.sources.models import load_model, save_model
 from tideglass.sources.tables import (
-    rows_to_frame,
     read_bronze,
     read_raw_csv,
     read_table,
     read_table_or_none,
     read_typed_csv,
+    rows_to_frame,
+    spread_scan,
     write_table,
 )
 
@@ -25,6 +26,7 @@ __all__ = [
     "read_typed_csv",
     "rows_to_frame",
     "save_model",
+    "spread_scan",
     "to_messages",
     "write_table",
 ]

@@ -48,6 +48,17 @@ def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Rows of a plain file scan dealt out to all cores, if it has fewer splits than cores.
+
+    For costly work per row on a small file with few row groups. Large inputs have more splits than
+    cores and stay as they are, so no large shuffle can come of this. ``df`` must be a scan with
+    narrow operations only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_raw_csv(
     spark: SparkSession, path: str, *, multiline: bool = False, keep_empty: bool = True
 ) -> DataFrame:
