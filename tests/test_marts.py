@@ -7,7 +7,9 @@ from tideglass.operators import lookups, marts
 
 @pytest.fixture(scope="module")
 def frame(spark, sf_dir):
-    return health(spark, sf_dir).cache()
+    cached = health(spark, sf_dir).cache()
+    yield cached
+    cached.unpersist()
 
 
 def category_rows(spark):

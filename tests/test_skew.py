@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tideglass.catalog import health as queries
 from tideglass.catalog.registry import oracle_sql
 from tideglass.catalog.views import health
-from tideglass.operators import marts, scenarios
+from tideglass.operators import marts, scenarios, sizing
 
 SMALL = {
     "spark.sql.shuffle.partitions": "64",
@@ -69,7 +69,9 @@ def test_hot_order_and_part(spark, hot_dir, connection, small_limits, name):
     assert "SortMergeJoin(skew=true) [l_orderkey" in final_plan(df)
 
 
-def test_hot_country_in_scenarios(spark, sf_dir, small_limits):
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_hot_country_in_scenarios(spark, sf_dir, small_limits, monkeypatch, few):
+    monkeypatch.setattr(sizing, "FEW_ROWS", few)
     rows = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, "NATION_1")
         .otherwise(F.concat(F.lit("NATION_"), (F.col("id") % 25).cast("string")))
@@ -81,5 +83,13 @@ def test_hot_country_in_scenarios(spark, sf_dir, small_limits):
     )
     summary = marts.country_health_summary(health(spark, sf_dir))
     requests = scenarios.enrich_scenarios(rows, summary)
-    assert requests.collect() and requests.count() == 30000
-    assert "skew=true" in final_plan(requests)
+    assert len(requests.collect()) == 30000
+    plan = final_plan(requests)
+    if few:
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    else:
+        assert "SortMergeJoin(skew=true) [Country" in plan
+    rejected = scenarios.reject_scenarios(rows, summary.filter("Country != 'NATION_1'"))
+    assert len(rejected.collect()) == rows.filter("Country = 'NATION_1'").count()
+    if not few:
+        assert "SortMergeJoin(skew=true) [Country" in final_plan(rejected)

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tideglass.functions.words import tokens
@@ -80,10 +81,14 @@ def test_group_limit_comes_before_the_shuffle(spark, sf_dir):
     assert "PythonUDF" not in plan and "Python" not in plan
 
 
-def test_sample_paragraph(spark):
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_sample_paragraph(spark, monkeypatch, limit):
+    monkeypatch.setattr(wordstats, "PLACES_LIMIT", limit)
     rows = [(i, f"t{i}") for i in range(9, 0, -1)] + [(0, None)]
     frame = spark.createDataFrame(rows, "id int, text string")
     assert wordstats.sample_paragraph(frame, ["id"]).first()[0] == "t1 t2 t3 t4 t5"
-    two = frame.withColumn("half", F.col("id") % 2)
+    two = frame.withColumn("half", F.when(F.col("id") % 2 == 1, 1))
     by_half = wordstats.sample_paragraph(two, ["id"], by="half", n=2)
-    assert {r["half"]: r["paragraph"] for r in by_half.collect()} == {0: "t2 t4", 1: "t1 t3"}
+    assert {r["half"]: r["paragraph"] for r in by_half.collect()} == {None: "t2 t4", 1: "t1 t3"}
+    tied = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c")], "id int, text string")
+    assert wordstats.sample_paragraph(tied, ["id"], n=2).first()[0] == "a a"

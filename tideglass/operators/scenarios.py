@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideglass.operators.sizing import lookup_side
 from tideglass.schemas import REQUEST_SCHEMA
 
 # Form defaults and limits, and the feature -> (summary column, fallback) rules.
@@ -90,7 +91,7 @@ def validate_scenarios(scenarios: DataFrame, rules: ScenarioRules = FORM_RULES)
             if len(few) <= LITERAL_LIMIT:
                 problems.append((name, F.col(name).isin(*[v for v in few if v is not None])))
                 continue
-            checked = checked.join(known, F.col(name) == F.col(f"_{name}"), "left")
+            checked = checked.join(lookup_side(known), F.col(name) == F.col(f"_{name}"), "left")
             problems.append((name, F.col(f"_{name}").isNotNull()))
         else:
             problems.append((name, F.col(name).isin(*values)))
@@ -107,10 +108,10 @@ def enrich_scenarios(
     """Model requests with the country's averages filled in; whole numbers are cut off.
 
     Scenarios for a country without summary are left out here and come from ``reject_scenarios``.
-    Spark broadcasts the summary if its measured size allows. Otherwise both sides shuffle by
-    country, and adaptive execution splits the partition of a country that many scenarios name.
+    A summary of few countries is broadcast; otherwise both sides shuffle by country, and adaptive
+    execution splits the partition of a country that many scenarios name.
     """
-    averages = summary.select("Country", *[column for column, _ in FILLED.values()])
+    averages = lookup_side(summary.select("Country", *[column for column, _ in FILLED.values()]))
     filled = {
         name: F.coalesce(F.col(column), F.lit(default))
         for name, (column, default) in FILLED.items()
@@ -122,4 +123,4 @@ def enrich_scenarios(
 
 def reject_scenarios(scenarios: DataFrame, summary: DataFrame) -> DataFrame:
     """Scenarios whose country has no summary."""
-    return scenarios.join(summary.select("Country"), "Country", "left_anti")
+    return scenarios.join(lookup_side(summary.select("Country")), "Country", "left_anti")

@@ -1,0 +1,25 @@
+"""Joins whose one side is a lookup table of unknown size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tideglass.session import materialize
+
+FEW_ROWS = 10_000
+
+
+def lookup_side(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df`` prepared as the small side of a join.
+
+    Up to ``limit`` rows are fetched and broadcast, so the other side is not shuffled. A larger
+    ``df`` is written once and read back: Spark then chooses the join by the size of the table, and
+    if it shuffles, both sides have plain exchanges, which is what adaptive execution needs to
+    split a hot key. (The output of an aggregation has none: it is partitioned by the key already.)
+    """
+    limit = FEW_ROWS if limit is None else limit
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return materialize(df.sparkSession, df, "lookup")

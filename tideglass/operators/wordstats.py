@@ -15,6 +15,9 @@ from tideglass.functions.words import (
     word_form,
 )
 
+# Up to this many places of sample texts are broadcast.
+PLACES_LIMIT = 10_000
+
 
 def word_rows(
     df: DataFrame,
@@ -78,11 +81,27 @@ def sample_paragraph(
     by: str | None = None,
     n: int = 5,
 ) -> DataFrame:
-    """The first ``n`` texts joined by blanks; per value of ``by`` if given."""
-    keys = [by] if by else []
-    rows = df.select(*keys, *order_by, text).filter(F.col(text).isNotNull())
-    order = [F.asc(name) for name in order_by]
-    few = first_per_group(rows, by, order, n) if by else rows.orderBy(*order).limit(n)
-    in_order = F.array_sort(F.collect_list(F.struct(*order_by, F.col(text).alias("_text"))))
+    """The first ``n`` texts joined by blanks; per value of ``by`` if given. Equal places in
+    ``order_by`` go by text.
+
+    The places are found first, without sorting texts along. If they are few, a broadcast of them
+    cuts the texts down as they are read; else the texts are ranked directly.
+    """
+    keys = [*([by] if by else []), *order_by]
+    rows = df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
+    places = _first(df.filter(F.col(text).isNotNull()).select(*keys), by, order_by, n)
+    found = places.limit(PLACES_LIMIT + 1).collect()
+    if len(found) <= PLACES_LIMIT:
+        known = df.sparkSession.createDataFrame(found, places.schema)
+        known = known.toDF(*[f"_{name}" for name in keys])
+        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys]
+        rows = rows.join(F.broadcast(known), same, "left_semi")
+    few = _first(rows, by, [*order_by, "_text"], n)
+    in_order = F.array_sort(F.collect_list(F.struct(*order_by, "_text")))
     paragraph = F.array_join(F.transform(in_order, lambda row: row["_text"]), " ")
-    return few.groupBy(*keys).agg(paragraph.alias("paragraph"))
+    return few.groupBy(*([by] if by else [])).agg(paragraph.alias("paragraph"))
+
+
+def _first(df: DataFrame, by: str | None, order_by: Sequence[str], n: int) -> DataFrame:
+    order = [F.asc(name) for name in order_by]
+    return first_per_group(df, by, order, n) if by else df.orderBy(*order).limit(n)
