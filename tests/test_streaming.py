@@ -2,8 +2,13 @@ import json
 
 import pytest
 
-from tideglass.plans.silver import hashed_abstracts, to_silver_abstracts
-from tideglass.schemas import ABSTRACT_SCHEMA
+from tideglass.plans.silver import (
+    hashed_abstracts,
+    hashed_health,
+    to_silver_abstracts,
+    to_silver_health,
+)
+from tideglass.schemas import ABSTRACT_SCHEMA, RAW_HEALTH_HEADERS, RAW_HEALTH_SCHEMA
 from tideglass.sources import read_bronze, read_topic_stream
 from tideglass.streaming import (
     append_new_rows,
@@ -102,3 +107,19 @@ def test_append_twice_is_append_once(spark, tmp_path):
     append_new_rows(batch, path)
     append_new_rows(batch, path)
     assert texts(spark, path) == ["a", "b"]
+
+
+def test_health_stream_equals_batch(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    base = dict.fromkeys(RAW_HEALTH_HEADERS, "1")
+    rows = [{**base, "Country": f"C{i % 7}", "Year": str(2000 + i % 3)} for i in range(60)]
+    rows += [{**base, "Country": None}, {**base, "Year": "unknown"}]
+    (inbox / "a").write_text("\n".join(json.dumps(row) for row in rows))
+    stream = spark.readStream.schema(RAW_HEALTH_SCHEMA).json(str(inbox))
+    path = str(tmp_path / "silver")
+    silver_by_batch(stream, hashed_health, path, str(tmp_path / "offsets")).awaitTermination()
+    batch = to_silver_health(read_bronze(spark, str(inbox), RAW_HEALTH_SCHEMA))
+    streamed = spark.read.parquet(path).select(batch.columns)
+    assert streamed.count() == 21
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
