@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideglass.llm import packing, token_counts
+from tideglass.llm import decontamination, packing, token_counts
 from tideglass.llm.common import read_table, workers_import_this
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,49 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return token_counts.token_counts(documents, public_tokenizers.path("piece_bpe_32k.model"), 4096)
+
+
+#: Tokens of the SQL twins: A-Z lower-cased, by the two word classes of the queries.
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALPHANUMERIC_WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op9_suffix_array_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {ALPHANUMERIC_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {ALPHANUMERIC_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+    SELECT item_id, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i, w
+    FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM win),
+sizes AS (SELECT DISTINCT k FROM windows),
+pos AS (
+    SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM (
+        SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+found AS (SELECT doc_id, item_id, i, p.k FROM pos p JOIN windows USING (k, g)),
+hit AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit FROM (
+        SELECT doc_id, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT doc_id, i, k FROM found))
+    GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (
+        SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op9_suffix_array_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_leaks(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 10
+    )
+    covered = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        covered.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
