@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideglass.llm import decontamination, packing, token_counts
+from tideglass.llm import decontamination, near_duplicates, packing, token_counts
 from tideglass.llm.common import read_table, workers_import_this
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+SPACED_WORDS = rf"regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+')"
+
+SQL["op5_minhash_near_duplicates"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPACED_WORDS} AS w FROM documents),
+s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS g
+    FROM d),
+g AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS shared
+    FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common WHERE 100 * shared >= 75 * (na + nb - shared)),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON r.other = l.a),
+least_id AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN least_id USING (doc_id)
+"""
+
+
+@query("op5_minhash_near_duplicates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), percent=75)
