@@ -9,7 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideglass.llm import decontamination, near_duplicates, packing, token_counts
+from tideglass.llm import (
+    decontamination,
+    near_duplicates,
+    packing,
+    secrets,
+    token_counts,
+    url_filter,
+)
 from tideglass.llm.common import read_table, workers_import_this
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +120,41 @@ FROM s JOIN least_id USING (doc_id)
 @query("op5_minhash_near_duplicates")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), percent=75)
+
+
+@query("op8_recursive_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.secret_spans(documents)
+    base = F.filter("secrets", lambda s: s["base"])
+
+    def number(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    def joined(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined("secrets").alias("spans"),
+    )
+
+
+#: The rules of the query.
+RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+@query("op4_redirect_equivalence")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), RULES)
