@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from tideglass.llm import (
     decontamination,
+    line_quality,
     near_duplicates,
     packing,
     secrets,
     token_counts,
     url_filter,
 )
-from tideglass.llm.common import read_table, workers_import_this
+from tideglass.llm.common import read_table, remainder, workers_import_this
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -158,3 +159,19 @@ RULES = [
 @query("op4_redirect_equivalence")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), RULES)
+
+
+def held_out(modulus: int, rest: int):
+    """Whether a row's id is in the held-out fold; an id of null is not."""
+    return F.coalesce(remainder(F.col("doc_id"), modulus) == rest, F.lit(False))
+
+
+@query("op6_crf_line_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = line_quality.score_quality(
+        read_table(spark, sf_dir, "documents"),
+        read_table(spark, sf_dir, "labels"),
+        train=~held_out(5, 0),
+        threshold=0.3,
+    )
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
