@@ -1,6 +1,7 @@
 """Tokenizer work on chunks that a text can be cut into without changing its tokens.
 
-A text is cut before a blank that follows a visible character. Neither vocabulary used here has a
+A text is cut before a blank that follows a visible character, and for byte-level BPE, whose words
+hold letters only, also before a sign that follows a letter. Neither vocabulary used here has a
 token that reaches over such a place, so the tokens of a text are those of its chunks in order. That
 bounds what a tokenizer sees of a long text, and lets equal chunks of a batch be encoded once.
 """
@@ -15,18 +16,33 @@ import pyarrow as pa
 from tideglass.llm.arrowtext import span_hash, text_bytes
 
 
-def cut_points(data: np.ndarray, offsets: np.ndarray, blanks: tuple[int, ...]) -> np.ndarray:
-    """Starts of chunks: starts of non-empty texts, and blanks after a character that is surely
-    visible (printable ASCII, or a two-byte letter from U+00C0 on). Elsewhere nothing is cut, which
-    makes chunks longer but never wrong."""
+def _bytes(members) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[[m if isinstance(m, int) else ord(m) for m in members]] = True
+    return table
+
+
+#: Before which bytes a text is cut after a visible character, and before which after
+#: an ASCII letter, by kind of vocabulary. (No ``|``: it is part of a special token's string.)
+PIECES = (_bytes([0x20]), None)
+BYTE_LEVEL = (_bytes([0x20, 0x0A]), _bytes("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{}~"))
+_LETTER = _bytes("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+
+
+def cut_points(data: np.ndarray, offsets: np.ndarray, cuts) -> np.ndarray:
+    """Starts of chunks: starts of non-empty texts, blanks after a character that is surely visible
+    (printable ASCII, or a two-byte letter from U+00C0 on), and perhaps signs after letters.
+    Elsewhere nothing is cut, which makes chunks longer but never wrong."""
     n = len(data)
     start = np.zeros(n + 1, dtype=bool)
     if n > 1:
-        blank = np.isin(data[1:], blanks)
+        blanks, signs = cuts
         before = data[:-1]
         seen = (before > 0x20) & (before < 0x7F)
         seen[1:] |= (before[1:] >= 0x80) & (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF)
-        start[1:n] = blank & seen
+        start[1:n] = blanks[data[1:]] & seen
+        if signs is not None:
+            start[1:n] |= signs[data[1:]] & _LETTER[before]
     start[offsets] = True
     start[n] = False
     return np.flatnonzero(start)
@@ -35,36 +51,47 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, blanks: tuple[int, ...]) -
 class ChunkCache:
     """What ``encode`` gives for each chunk, remembered by its hash within one Python worker.
 
-    ``encode`` takes a list of texts and returns one value each. When ``most`` chunks are held the
-    memory starts afresh, so it stays bounded; frequent chunks are soon back.
+    ``encode`` takes a list of texts and returns one value each. Memory is bounded: new and used
+    chunks are in one of two generations of at most ``most``, and when the younger is full the older
+    is given up, so frequent chunks stay.
     """
 
     def __init__(self, encode: Callable[[list[str]], list], most: int = 400_000):
-        self.encode, self.most, self.known = encode, most, {}
+        self.encode, self.most, self.young, self.old = encode, most, {}, {}
 
     def values(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list, np.ndarray]:
         """Values of the distinct spans, and for each span the place of its value."""
         hashes = span_hash(data, start, end)
         distinct, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
-        known = self.known
-        found = [known.get(key) for key in keys]
-        absent = [i for i, value in enumerate(found) if value is None]
+        found = list(map(self.young.get, keys))
+        absent = []
+        for i, value in enumerate(found):
+            if value is None:
+                found[i] = value = self.old.get(keys[i])
+                if value is None:
+                    absent.append(i)
+                else:
+                    self._keep(keys[i], value)
         if absent:
             raw = data.tobytes()
-            texts = [raw[start[i] : end[i]].decode("utf-8") for i in sample[absent].tolist()]
-            if len(known) + len(absent) > self.most:
-                known.clear()
+            at = sample[absent]
+            spans = zip(start[at].tolist(), end[at].tolist())
+            texts = [raw[a:b].decode("utf-8") for a, b in spans]
             for i, value in zip(absent, self.encode(texts)):
                 found[i] = value
-                if len(known) < self.most:
-                    known[keys[i]] = value
+                self._keep(keys[i], value)
         return found, place
 
+    def _keep(self, key: int, value) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
 
-def chunk_spans(column: pa.Array, blanks: tuple[int, ...]):
+def chunk_spans(column: pa.Array, cuts):
     """Bytes of a text column, chunk starts and ends, and the first chunk of each row."""
     data, offsets = text_bytes(column)
-    start = cut_points(data, offsets, blanks)
+    start = cut_points(data, offsets, cuts)
     end = np.append(start[1:], len(data)) if len(start) else start
     return data, start, end, np.searchsorted(start, offsets)

@@ -16,6 +16,7 @@ packed one by one. Columns other than the id and the text are not looked at.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
@@ -26,9 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.llm.arrowtext import ragged, row_sums, steps
-from tideglass.llm.chunks import ChunkCache, chunk_spans
+from tideglass.llm.chunks import BYTE_LEVEL, ChunkCache, chunk_spans
 from tideglass.llm.common import materialize
-from tideglass.llm.token_counts import BYTE_BLANKS
 
 #: Pieces of one length that meet in one task, about; and the fewest buckets a length is dealt to.
 BUCKET_ROWS, LEAST_BUCKETS = 50_000, 256
@@ -45,14 +45,14 @@ def byte_ids(path: str) -> ChunkCache:
 
     def encode(texts: list[str]) -> list[bytes]:
         encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in encoded)]
 
     return ChunkCache(encode)
 
 
 def encode_rows(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a text column one after another, an end id after each text, and the lengths."""
-    data, start, end, first = chunk_spans(column, BYTE_BLANKS)
+    data, start, end, first = chunk_spans(column, BYTE_LEVEL)
     values, place = byte_ids(path).values(data, start, end)
     ids = np.frombuffer(b"".join(values), dtype="<u4")
     sizes = np.array([len(value) >> 2 for value in values], dtype=np.int64)

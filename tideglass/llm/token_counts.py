@@ -19,11 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideglass.llm.arrowtext import row_sums, steps, text_bytes
-from tideglass.llm.chunks import ChunkCache, chunk_spans
-
-#: Blanks before which texts are cut, by kind of vocabulary.
-PIECE_BLANKS = (0x20,)
-BYTE_BLANKS = (0x20, 0x0A)
+from tideglass.llm.chunks import BYTE_LEVEL, PIECES, ChunkCache, chunk_spans
 
 
 @lru_cache(maxsize=4)
@@ -41,7 +37,7 @@ def piece_lengths(model: str) -> ChunkCache:
 
 
 def _count_pieces(column: pa.Array, model: str) -> np.ndarray:
-    data, start, end, first = chunk_spans(column, PIECE_BLANKS)
+    data, start, end, first = chunk_spans(column, PIECES)
     lead = np.ones(len(start), dtype=np.int64)
     lead[first[:-1][np.diff(first) > 0]] = 0  # the first chunk of a text is encoded as it stands
     bare = start + lead
@@ -67,7 +63,7 @@ def _byte_lengths(path: str) -> ChunkCache:
 
 
 def _count_bytes(column: pa.Array, path: str) -> np.ndarray:
-    data, start, end, first = chunk_spans(column, BYTE_BLANKS)
+    data, start, end, first = chunk_spans(column, BYTE_LEVEL)
     values, place = _byte_lengths(path).values(data, start, end)
     counts = np.array(values, dtype=np.int64)[place] if len(place) else np.zeros(0)
     return row_sums(counts, first).astype(np.int64)
