@@ -16,6 +16,7 @@ from tideglass.llm import (
     packing,
     secrets,
     token_counts,
+    toxicity,
     url_filter,
 )
 from tideglass.llm.common import read_table, remainder, workers_import_this
@@ -175,3 +176,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         threshold=0.3,
     )
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+@query("op7_nonnegative_pu_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(
+        read_table(spark, sf_dir, "documents"),
+        read_table(spark, sf_dir, "labels"),
+        train=~held_out(5, 0),
+        threshold=0.5,
+    )
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
