@@ -7,7 +7,8 @@ less what their toxic part costs. When that difference turns negative the classi
 fit single texts, and the step goes the other way.
 
 The features are words and beginnings of words that are more frequent among the positives than among
-the unlabelled texts; Spark counts them. The classifier is linear, in numpy, on samples of bounded
+the unlabelled texts, and so much so that by the prior they are likelier in a toxic text than in
+another; Spark counts them. The classifier is linear, in numpy, on samples of bounded
 size: at most ``sample`` positives and twice as many unlabelled texts, by a hash of their ids. The
 prior is the share of toxic rows among all labels that may be learned from, unless it is given. Every
 text is scored whole.
@@ -31,8 +32,9 @@ from tideglass.llm.common import materialize
 
 #: Positives learned from at most, and features of a classifier at most.
 SAMPLE_POSITIVES, MOST_FEATURES = 3_000, 4_096
-#: How many standard errors a feature's share among positives must lie above that of the rest.
-DISTINCT = 5.0
+#: How many standard errors a feature's share among positives must lie above that of the rest, and
+#: the least chance, by the prior, that a text with the feature is toxic.
+DISTINCT, LIKELY = 6.0, 0.5
 #: Bytes of the beginnings of words that count as features.
 BEGINNINGS = (4, 6)
 
@@ -169,7 +171,7 @@ def train_classifier(
         .groupBy("feature")
         .agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
         .withColumn("distinct", (share_p - share_u) / error)
-        .where(F.col("distinct") >= DISTINCT)
+        .where((F.col("distinct") >= DISTINCT) & (prior * share_p >= LIKELY * share_u))
         .orderBy(F.desc("distinct"), "feature")
         .limit(MOST_FEATURES)
     )
