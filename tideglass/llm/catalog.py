@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideglass.llm import (
+    bloom_lm,
     decontamination,
     line_quality,
     near_duplicates,
@@ -187,3 +188,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         threshold=0.5,
     )
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+@query("op2_log_frequency_bloom_lm")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = bloom_lm.score(read_table(spark, sf_dir, "documents"), train=~held_out(7, 2))
+    return scored.select(
+        "doc_id",
+        held_out(7, 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
