@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tideglass.llm import (
     bloom_lm,
     decontamination,
+    hamming_index,
     line_quality,
     near_duplicates,
     packing,
@@ -202,3 +203,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query("op1_multi_index_hashing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return hamming_index.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
