@@ -1,5 +1,84 @@
-"""A corpus of documents made ready for training, stage by stage."""
+"""A corpus of documents made ready for training, stage by stage.
+
+Each stage works on all that its predecessor kept, written as Parquet in the shared folder and read
+again: documents of low quality go, one document of each group of near duplicates stays, documents
+that hold passages of the benchmark go, secrets are masked, and what is left is packed into sequences.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import functools
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideglass.llm import decontamination, line_quality, near_duplicates, packing, secrets
+from tideglass.llm.common import materialize, read_table, remainder, workers_import_this
+
+
+def _stage(function):
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        workers_import_this(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of quality label 1 is 0.3 or more."""
+    train = F.coalesce(remainder(F.col("doc_id"), 5) != 0, F.lit(False))
+    labels = read_table(spark, sf_dir, "labels")
+    return line_quality.keep_good(docs, labels, train, threshold=0.3)
+
+
+@_stage
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group with a similarity of 0.75 or more."""
+    return near_duplicates.keep_one(docs, percent=75)
+
+
+@_stage
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without ten consecutive words of a benchmark item."""
+    return decontamination.remove_leaks(docs, read_table(spark, sf_dir, "benchmark"), 10)
+
+
+@_stage
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets masked; ``n_chars`` follows the text."""
+    masked = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    kind = docs.schema["n_chars"].dataType
+    length = F.coalesce(F.char_length("text"), F.col("n_chars")).cast(kind)
+    return masked.withColumn("n_chars", length)
+
+
+@_stage
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents placed in sequences of 1,024 tokens."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(packing.pieces(docs, tokenizer, 1024, 2), 1024)
+
+
+STAGES = [
+    ("quality classifier", keep_good_quality),
+    ("near duplicates", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("secret scans", mask_secrets),
+    ("best-fit packing", pack_sequences),
+]
+
+#: A conditional random field cannot be stated in SQL; tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents in ``sf_dir``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideglass.llm.arrowtext import steps
 from tideglass.session import materialize, scratch_path
 
-__all__ = ["materialize", "read_table", "remainder", "scratch_path", "workers_import_this"]
+__all__ = [
+    "materialize",
+    "read_table",
+    "remainder",
+    "scratch_path",
+    "with_text_column",
+    "workers_import_this",
+]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,3 +39,26 @@ def workers_import_this(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in [*paths, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def with_text_column(
+    documents: DataFrame, text: str, make: Callable[[pa.Array], pa.Array], name: str, kind: str
+) -> DataFrame:
+    """``documents`` with column ``name`` made from steps of the text column; one of that name is
+    replaced. Other columns pass through whatever they are called."""
+    names = [c for c in documents.columns if c != name]
+    kept = [f"c{i}" for i in range(len(names))]
+    rows = documents.select(
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)],
+        F.col(f"`{text}`").cast("string").alias("text"),
+    )
+
+    def run(batches):
+        for batch in steps(batches):
+            made = make(batch.column("text"))
+            columns = [batch.column(i) for i in range(len(kept))]
+            yield pa.RecordBatch.from_arrays([*columns, made], names=[*kept, "made"])
+
+    schema = ", ".join([f"{k} {t}" for k, t in rows.dtypes if k != "text"] + [f"made {kind}"])
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[F.col(k).alias(c) for k, c in zip(kept, names)], F.col("made").alias(name))

@@ -130,7 +130,8 @@ def narrow(shard: Shard, low, high, depth: int, wanted) -> tuple[np.ndarray, np.
             if not open_.any():
                 return a
             middle = (a + b) >> 1
-            word = shard.words[shard.order[np.where(open_, middle, 0)] + depth]
+            at = shard.order[np.where(open_, middle, 0)] + depth
+            word = shard.words[np.minimum(at, len(shard.words) - 1)]
             right = open_ & ((word <= wanted) if strict else (word < wanted))
             a = np.where(right, middle + 1, a)
             b = np.where(open_ & ~right, middle, b)
@@ -210,31 +211,20 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
 SPAN = "array<struct<start: long, end: long>>"
 
 
-def find_leaks(
+def _searched(
     documents: DataFrame,
     benchmark: DataFrame,
-    window: int = 10,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    item_id: str = "item_id",
-    item_text: str = "text",
-    block_bytes: int = BLOCK_BYTES,
-    keep: list[str] | None = None,
+    window: int,
+    text: str,
+    item_id: str,
+    item_text: str,
+    block_bytes: int,
 ) -> DataFrame:
-    """One row per row of ``documents``: ``doc_id``, ``n_words``, ``hits`` (word ranges that windows
-    of test items cover), ``items`` (ids of those test items, sorted as strings), ``longest`` and
-    ``longest_at`` (words of the longest verbatim match, and its first word). A match is counted
-    from ``window`` words on, or from all words of a shorter item.
-
-    ``keep`` names further columns of ``documents`` to pass through.
-    """
+    """Columns ``_0``, ``_1``, ... of ``documents`` with what was found in each row's text."""
     spark = documents.sparkSession
-    kinds = dict(documents.dtypes)
-    keep = list(keep or [])
     state = documents.select(
-        F.col(doc_id).alias("_id"),
-        F.col(text).cast("string").alias("text"),
-        *[F.col(f"`{name}`").alias(f"_k{i}") for i, name in enumerate(keep)],
+        *[F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(documents.columns)],
+        F.col(f"`{text}`").cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(SPAN).alias("hits"),
         F.array().cast(f"array<{dict(benchmark.dtypes)[item_id]}>").alias("items"),
@@ -242,16 +232,37 @@ def find_leaks(
         F.lit(-1).cast("long").alias("longest_at"),
     )
     schema = ", ".join(f"{name} {kind}" for name, kind in state.dtypes)
-    blocks = _blocks(benchmark, item_id, item_text, block_bytes)
-    for k, table in enumerate(blocks):
+    for k, table in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
         if k:
             state = materialize(spark, state, "leaks")
         sent = spark.sparkContext.broadcast(test_block(table, window))
         state = state.mapInArrow(_search(sent, k == 0), schema)
-    state = state.withColumn("items", F.array_sort(F.col("items").cast("array<string>")))
-    named = [F.col(f"_k{i}").cast(kinds[name]).alias(name) for i, name in enumerate(keep)]
+    return state
+
+
+def find_leaks(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """One row per row of ``documents``: ``doc_id``, ``n_words``, ``hits`` (word ranges that windows
+    of test items cover), ``items`` (ids of those test items, sorted as strings), ``longest`` and
+    ``longest_at`` (words of the longest verbatim match, and its first word). A match is counted
+    from ``window`` words on, or from all words of a shorter item."""
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    state = _searched(rows, benchmark, window, "text", item_id, item_text, block_bytes)
     return state.select(
-        F.col("_id").alias("doc_id"), *named, "n_words", "hits", "items", "longest", "longest_at"
+        F.col("_0").alias("doc_id"),
+        "n_words",
+        "hits",
+        F.array_sort(F.col("items").cast("array<string>")).alias("items"),
+        "longest",
+        "longest_at",
     )
 
 
@@ -313,8 +324,16 @@ def _union(spans: list[dict]) -> list[dict]:
     return out
 
 
-def remove_leaks(documents: DataFrame, benchmark: DataFrame, window: int = 10, **names) -> DataFrame:
+def remove_leaks(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """The documents that share no window with a test item, with their columns."""
-    found = find_leaks(documents, benchmark, window, keep=documents.columns, **names)
-    kept = found.where(F.size("hits") == 0)
-    return kept.select(*[kept[f"`{name}`"] for name in documents.columns])
+    state = _searched(documents, benchmark, window, text, item_id, item_text, block_bytes)
+    names = [F.col(f"_{i}").alias(name) for i, name in enumerate(documents.columns)]
+    return state.where(F.size("hits") == 0).select(*names)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideglass.llm.arrowtext import SPACED, Words, steps, text_bytes
+from tideglass.llm.common import with_text_column
 
 #: Documents the model is fitted on at most.
 SAMPLE_DOCUMENTS = 6_000
@@ -285,21 +286,34 @@ def score_quality(
     and ``predicted``. ``train`` says by column ``doc_id`` which labels may be learned from."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     field = train_field(rows, labelled_sample(labels, label_id, label, train, sample))
-    return score_with(rows, field, threshold)
+    scored = score_column(rows, field).select("doc_id", "score")
+    return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
 
 
-def score_with(rows: DataFrame, field: Field, threshold: float, keep: list[str] | None = None) -> DataFrame:
-    """Scores by a fitted field; ``keep`` names columns to return (``doc_id`` by default)."""
-    keep = ["doc_id"] if keep is None else keep
+def keep_good(
+    documents: DataFrame,
+    labels: DataFrame,
+    train: Column,
+    label: str = "quality",
+    threshold: float = 0.3,
+    sample: int = SAMPLE_DOCUMENTS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label_id: str = "doc_id",
+) -> DataFrame:
+    """The rows of ``documents`` with a score of at least ``threshold``, with their columns."""
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    field = train_field(rows, labelled_sample(labels, label_id, label, train, sample))
+    scored = score_column(documents, field, "_score", text).where(F.col("_score") >= threshold)
+    return scored.select(*[F.col(f"`{name}`") for name in documents.columns])
 
-    def run(batches):
-        for batch in steps(batches):
-            lines = line_features(batch.column("text"))
-            raw = raw_quality(lines, field.weights, field.follow)
-            score = _sigmoid(field.slope * _log_odds(raw) + field.shift)
-            columns = [batch.column(name) for name in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*keep, "score"])
 
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes if name in keep)
-    scored = rows.mapInArrow(run, f"{schema}, score double")
-    return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
+def score_column(documents: DataFrame, field: Field, name: str = "score", text: str = "text") -> DataFrame:
+    """``documents`` with a column of scores by a fitted field."""
+
+    def make(column: pa.Array) -> pa.Array:
+        lines = line_features(column)
+        raw = raw_quality(lines, field.weights, field.follow)
+        return pa.array(_sigmoid(field.slope * _log_odds(raw) + field.shift))
+
+    return with_text_column(documents, text, make, name, "double")

@@ -10,9 +10,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
+    import corpus_pipeline
     from tideglass.llm import catalog
 
-    return dict(catalog.QUERIES)
+    return {**catalog.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

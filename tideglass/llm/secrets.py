@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.arrowtext import byte_class, steps, text_bytes
+from tideglass.llm.arrowtext import byte_class, text_bytes
+from tideglass.llm.common import with_text_column
 
 #: Kinds in their order, their patterns, and the fewest characters (of the second
 #: group for assignments, of the whole match otherwise).
@@ -298,26 +299,6 @@ def _masked(value: str, spans: list[tuple], mark: str) -> str:
     return "".join([*parts, value[at:]])
 
 
-def _mapped(documents: DataFrame, text: str, make, name: str, kind: str) -> DataFrame:
-    """``documents`` with column ``name`` made from the text column of each batch."""
-    names = [c for c in documents.columns if c != name]
-    kept = [f"c{i}" for i in range(len(names))]
-    rows = documents.select(
-        *[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)],
-        F.col(f"`{text}`").cast("string").alias("text"),
-    )
-
-    def run(batches):
-        for batch in steps(batches):
-            made = make(batch.column("text"))
-            columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, made], names=[*kept, "made"])
-
-    schema = ", ".join([f"{k} {t}" for k, t in rows.dtypes if k != "text"] + [f"made {kind}"])
-    out = rows.mapInArrow(run, schema)
-    return out.select(*[F.col(k).alias(c) for k, c in zip(kept, names)], F.col("made").alias(name))
-
-
 def secret_spans(documents: DataFrame, text: str = "text", layers: bool = True) -> DataFrame:
     """``documents`` with a column ``secrets``: spans in characters (code points) of the text, in
     order, each with its kind and whether it stands in the text as it is (``base``) or was found in
@@ -330,7 +311,7 @@ def secret_spans(documents: DataFrame, text: str = "text", layers: bool = True)
         ]
         return pa.array(rows, type=_SPAN_TYPE)
 
-    return _mapped(documents, text, make, "secrets", SPANS)
+    return with_text_column(documents, text, make, "secrets", SPANS)
 
 
 def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -344,5 +325,5 @@ def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]") ->
         ]
         return pa.array(values, type=pa.string())
 
-    cleaned = _mapped(documents, text, make, text, "string")
+    cleaned = with_text_column(documents, text, make, text, "string")
     return cleaned.select(*[F.col(f"`{name}`") for name in documents.columns])
