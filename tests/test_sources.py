@@ -145,10 +145,10 @@ def test_shuffle_conf():
     assert shuffle_conf(10**14, cores=8000)[key] == "50000"
 
 
-def test_spread_scan_leaves_wide_scans_alone(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).repartition(1).write.parquet(path)
-    narrow = sources.spread_scan(spark.read.parquet(path))
-    assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 32)
-    assert sources.spread_scan(wide) is wide
+def test_versions_leave_readers_alone(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first = sources.write_version(spark.range(3), path)
+    reader = spark.read.parquet(first)
+    second = sources.write_version(reader.filter("id > 0"), path)
+    assert first != second and reader.count() == 3 and spark.read.parquet(second).count() == 2
+    assert sorted([first, second]) == [first, second]

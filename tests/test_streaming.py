@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tideglass.plans.silver import (
     hashed_abstracts,
@@ -9,7 +10,7 @@ from tideglass.plans.silver import (
     to_silver_health,
 )
 from tideglass.schemas import ABSTRACT_SCHEMA, RAW_HEALTH_HEADERS, RAW_HEALTH_SCHEMA
-from tideglass.sources import read_bronze, read_topic_stream
+from tideglass.sources import decode_messages, read_bronze, read_topic_stream
 from tideglass.streaming import (
     append_new_rows,
     land_bronze,
@@ -18,7 +19,7 @@ from tideglass.streaming import (
     silver_by_batch,
     silver_by_state,
 )
-from tideglass.streaming.landing import landed_rows
+from tideglass.streaming.landing import LandedRows
 
 
 def message(text, label="l"):
@@ -38,8 +39,12 @@ class Lake:
 
     def land(self, **options):
         stream = read_topic_stream(self.spark, folder=str(self.inbox), **options)
+        landed = LandedRows()
+        self.spark.streams.addListener(landed)
         query = land_bronze(stream, self.bronze, self.offsets)
         query.awaitTermination()
+        self.rows = landed.of(query)
+        self.spark.streams.removeListener(landed)
         return query
 
     def accepted(self):
@@ -54,11 +59,14 @@ def lake(spark, tmp_path):
 
 def test_landing_resumes_and_routes_rejects(lake):
     lake.send("a", message("one"), "not json", message("two"), '"text"')
-    assert landed_rows(lake.land()) == 4
+    lake.land()
+    assert lake.rows == 4
     assert lake.accepted() == ["one", "two"]
-    assert landed_rows(lake.land()) == 0
+    lake.land()
+    assert lake.rows == 0
     lake.send("b", message("three"), "{broken")
-    assert landed_rows(lake.land()) == 2
+    lake.land()
+    assert lake.rows == 2
     assert lake.accepted() == ["one", "three", "two"]
     rejects = sorted(r["value"] for r in read_rejects(lake.spark, lake.bronze).collect())
     assert rejects == ['"text"', "not json", "{broken"]
@@ -77,6 +85,70 @@ def test_extra_fields_survive_landing(lake):
     assert read_bronze(lake.spark, lake.bronze).first()["more"] == "x"
 
 
+def test_more_batches_than_progress_is_kept(lake):
+    for number in range(110):
+        lake.send(f"m{number:03d}", message(str(number)))
+    lake.land(max_files=1)
+    assert lake.rows == 110 and len(lake.accepted()) == 110
+
+
+@pytest.mark.parametrize(
+    "text, fine",
+    [
+        ('{"text":"a","text":"b","label":"l"}', True),
+        ('{"text":"a","label":"l","n":NaN}', True),
+        ('  {"text":"a","label":"l"} ', True),
+        ("{}", True),
+        ('{"text":"a","label":"l"} trailing', False),
+        ('{"text":"a"},{"label":"l"}', False),
+        ('{"text":"a"}] [{"b":1}', False),
+        ("{'text':'a'}", False),
+        ('{"text":"a\nb","label":"l"}', False),
+        ("[1]", False),
+        ("null", False),
+        ("", False),
+        (None, False),
+    ],
+)
+def test_what_is_one_json_object(spark, text, fine):
+    frame = spark.createDataFrame([(text,)], "value string")
+    row = decode_messages(frame, ABSTRACT_SCHEMA).first()
+    assert row["reject"] == (None if fine else text)
+
+
+def test_a_very_long_field_is_accepted_and_read(spark, lake):
+    long = "x" * 20_100_000
+    lake.send("a", message(long))
+    lake.land()
+    assert lake.accepted() == [long]
+    frame = spark.read.text(str(lake.inbox))
+    row = decode_messages(frame, ABSTRACT_SCHEMA).select("reject", F.length("text").alias("n")).first()
+    assert tuple(row) == (None, len(long))
+
+
+def test_rejects_are_kept_as_they_came(spark, tmp_path):
+    sent = ['{"text":"a\nb"', 'line\r\nbreaks "quoted" \\ é', "[1]"]
+    spark.createDataFrame([(t,) for t in sent], "value string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("value string").parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "bronze")
+    land_bronze(stream, path, str(tmp_path / "offsets")).awaitTermination()
+    assert sorted(r["value"] for r in read_rejects(spark, path).collect()) == sorted(sent)
+    assert read_landed(spark, path, None).count() == 0
+
+
+def test_a_field_named_outcome_is_data(spark, lake, tmp_path):
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    rows = ['{"text":"t","label":"l","outcome":"died"}', '{"text":"u","label":"l","outcome":"recovered"}']
+    (plain / "a").write_text("\n".join(rows))
+    assert {r["outcome"] for r in read_landed(spark, str(plain), None).collect()} == {"died", "recovered"}
+    lake.send("a", *rows, "broken")
+    lake.land()
+    found = read_landed(spark, lake.bronze, None)
+    assert sorted(found.columns) == ["label", "outcome", "text"]
+    assert {r["outcome"] for r in found.collect()} == {"died", "recovered"}
+
+
 def texts(spark, path):
     return sorted(r["text"] for r in spark.read.parquet(path).collect())
 

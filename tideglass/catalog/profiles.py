@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tideglass.catalog.registry import query
 from tideglass.catalog.views import rounded, table
 from tideglass.operators import profiling
-from tideglass.sources import spread_scan
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
@@ -111,6 +110,6 @@ def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM summed, s""",
 )
 def density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = spread_scan(table(spark, sf_dir, "lineitem").select("l_extendedprice"))
+    values = table(spark, sf_dir, "lineitem").select("l_extendedprice")
     curve = profiling.density(values, "l_extendedprice")
     return rounded(curve, 6, density=12)

@@ -10,7 +10,6 @@ from tideglass.catalog.views import ABSTRACTS_SQL, abstracts, table
 from tideglass.functions.words import ENGLISH_STOP_WORDS
 from tideglass.functions.words import tokens as words_of
 from tideglass.operators import dedup, lookups, wordstats
-from tideglass.sources import spread_scan
 
 _STOP_SQL = ", ".join(f"'{word}'" for word in ENGLISH_STOP_WORDS)
 
@@ -57,7 +56,7 @@ def distinct_langs(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT word, count(*) AS count FROM kept GROUP BY word""",
 )
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.word_counts(spread_scan(abstracts(spark, sf_dir)))
+    return wordstats.word_counts(abstracts(spark, sf_dir))
 
 
 @query(
@@ -66,7 +65,7 @@ def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT label, word, count(*) AS count FROM kept GROUP BY label, word""",
 )
 def word_counts_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.word_counts(spread_scan(abstracts(spark, sf_dir)), by="label")
+    return wordstats.word_counts(abstracts(spark, sf_dir), by="label")
 
 
 @query(
@@ -77,7 +76,7 @@ def word_counts_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = lookups.lookup(abstracts(spark, sf_dir), "label", "economy")
-    return wordstats.top_words(spread_scan(chosen))
+    return wordstats.top_words(chosen)
 
 
 @query(
@@ -88,7 +87,7 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY label ORDER BY count DESC, word) <= 20""",
 )
 def top_words_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordstats.top_words(spread_scan(abstracts(spark, sf_dir)), by="label")
+    return wordstats.top_words(abstracts(spark, sf_dir), by="label")
 
 
 @query(
@@ -98,7 +97,7 @@ def top_words_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY doc_id""",
 )
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rows.select("doc_id", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
 
 

@@ -10,7 +10,9 @@ the pairs (centre, member) are candidates, and these are confirmed on the full s
 set are one node throughout, however many there are. A bucket is settled when its members are in one
 component. Where it is not, it gets further centres in rounds that double their number, and only
 pairs across components not compared before are checked, until every member has been a centre. So no
-pair that shares a bucket is missed, while a group of copies costs one star.
+pair that shares a bucket is missed, while a group of copies costs one star. From the second round on,
+shingles that only one candidate has are counted out: a set whose other shingles are too few for a
+link with any member of a bucket is done there, and a pair is checked only if they are enough for it.
 
 With 6 bins a band and 50 bands, two sets with a similarity of 0.75 share no bucket with a chance of
 6e-5, at 0.8 with one of 2e-7.
@@ -26,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.llm.arrowtext import SPACED, Words, gram_hash, mix, steps
@@ -235,11 +237,41 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
     )
 
 
+def _enough(common: Column, both: Column, percent: int) -> Column:
+    """Whether ``common`` shingles are enough for a link of sets with ``both`` shingles together."""
+    return F.lit(100 + percent) * common >= F.lit(percent) * both
+
+
+def _shared(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and how many of its shingles occur in another of the ``nodes`` too."""
+    spark = sets.sparkSession
+    entries = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+    often = entries.groupBy("s").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("s")
+    common = entries.join(materialize(spark, often, "common-shingles"), "s")
+    return common.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``members`` that share enough to link with the smallest set of their bucket at least, with
+    ``shared`` and the ``size`` that is left of the bucket."""
+    spark = members.sparkSession
+    shared = materialize(spark, _shared(sets, members.select("node").distinct()), "shared")
+    members = materialize(spark, members.drop("shared", "size").join(shared, "node"), "members")
+    least = members.groupBy("key").agg(F.min("n").alias("least"))
+    able = members.join(materialize(spark, least, "least"), "key").where(
+        _enough(F.col("shared"), F.col("n") + F.col("least"), percent)
+    )
+    able = materialize(spark, able.drop("least"), "members")
+    sizes = able.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return materialize(spark, able.join(materialize(spark, sizes, "bucket-sizes"), "key"), "members")
+
+
 def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     """Pairs of bucket members with the bucket's centres number ``low`` to ``high - 1`` by degree,
-    if they are in different components and their set sizes allow a link."""
+    if they are in different components and the sizes of their sets, and of what these share with
+    others (``shared``), allow a link."""
     best = F.struct(
-        "degree", (-F.col("node")).alias("minus"), F.col("n").alias("n"), F.col("component")
+        "degree", (-F.col("node")).alias("minus"), "n", "component", "shared"
     )
     if high == 1:
         centres = members.groupBy("key").agg(F.max(best).alias("centre"))
@@ -250,15 +282,29 @@ def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
             "key", best.alias("centre")
         )
     centres = materialize(members.sparkSession, centres, "centres")
-    small, large = F.least("n", "centre.n"), F.greatest("n", "centre.n")
     node = -F.col("centre.minus")
+    # An intersection is at most what the smaller of both sets shares with any other.
+    shared = F.least("shared", "centre.shared")
     joined = members.join(centres, "key").where(
         (F.col("component") != F.col("centre.component"))
-        & (F.lit(100) * small >= F.lit(percent) * large)
+        & _enough(shared, F.col("n") + F.col("centre.n"), percent)
     )
     return joined.select(F.greatest("node", node).alias("a"), F.least("node", node).alias("b")).distinct()
 
 
+def _unsettled(members: DataFrame, labels: DataFrame, centres: int) -> DataFrame:
+    """The members of buckets that hold several components and pairs without any of the first
+    ``centres`` members."""
+    spark = members.sparkSession
+    seen = members.where(F.col("size") > centres + 1).drop("component").join(labels, "node", "left")
+    seen = materialize(spark, seen.withColumn("component", F.coalesce("component", "node")), "seen")
+    ends = seen.groupBy("key").agg(
+        F.min("component").alias("first"), F.max("component").alias("last")
+    )
+    keys = materialize(spark, ends.where("first <> last").select("key"), "unsettled")
+    return materialize(spark, seen.join(keys, "key"), "seen")
+
+
 def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int) -> DataFrame:
     """``node`` and ``component`` of linked nodes, over rounds of more centres per bucket."""
     spark = rows.sparkSession
@@ -268,24 +314,16 @@ def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int)
     sets = materialize(
         spark, texts.mapInArrow(_sets(shingle_words), f"node {kind}, shingles array<long>"), "sets"
     )
-    alone = members.withColumn("component", F.col("node"))
+    alone = members.withColumns({"component": F.col("node"), "shared": F.col("n")})
     tested = materialize(spark, _pairs(alone, 0, 1, percent), "pairs")
     links = materialize(spark, confirmed(tested, sets, percent), "links")
     labels = materialize(spark, components(links), "labels")
-    low, high = 0, 1
+    members = _able(_unsettled(alone, labels, 1), sets, percent)
+    low, high = 0, 2
     while True:
-        low, high = high, 2 * high + 1
-        seen = members.where(F.col("size") > low).join(labels, "node", "left")
-        seen = materialize(
-            spark, seen.withColumn("component", F.coalesce("component", "node")), "seen"
-        )
-        ends = seen.groupBy("key").agg(
-            F.min("component").alias("first"), F.max("component").alias("last")
-        )
-        unsettled = materialize(spark, ends.where("first <> last").select("key"), "unsettled")
-        if unsettled.isEmpty():
+        seen = _unsettled(members, labels, low)
+        if seen.isEmpty():
             return labels
-        seen = materialize(spark, seen.join(unsettled, "key"), "seen")
         fresh = _pairs(seen, low, high, percent).join(tested, ["a", "b"], "left_anti")
         fresh = materialize(spark, fresh, "pairs")
         found = materialize(spark, confirmed(fresh, sets, percent), "links")
@@ -293,3 +331,32 @@ def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int)
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = materialize(spark, components(links), "labels")
+        low, high = high, 3 * high
+
+
+def keep_one(
+    documents: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text", **shape
+) -> DataFrame:
+    """One row of each group of near duplicates, with its columns: the one with the smallest id. Of
+    rows that share an id one stays. Rows with a null id come after all others."""
+    spark = documents.sparkSession
+    columns = documents.columns
+    rows, key = documents, doc_id
+    if not documents.where(F.col(f"`{doc_id}`").isNull()).isEmpty():
+        key = "_id"
+        last = documents.agg(F.max(F.col(f"`{doc_id}`").cast("long"))).first()[0] or 0
+        own = F.coalesce(
+            F.col(f"`{doc_id}`").cast("long"), F.monotonically_increasing_id() + F.lit(last + 1)
+        )
+        rows = materialize(spark, documents.withColumn(key, own), "identified")
+    found = near_duplicates(rows, percent, doc_id=key, text=text, **shape)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    rows = rows.join(materialize(spark, gone, "duplicates"), key, "left_anti")
+    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    repeated = materialize(spark, repeated, "repeated")
+    if not repeated.isEmpty():
+        several = rows.join(repeated, key, "left_semi")
+        order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+        first = several.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+        rows = rows.join(repeated, key, "left_anti").unionByName(first.drop("_rank"))
+    return rows.select(*[F.col(f"`{name}`") for name in columns])

@@ -8,8 +8,8 @@ from tideglass.sources.tables import (
     read_table_or_none,
     read_typed_csv,
     rows_to_frame,
-    spread_scan,
     write_table,
+    write_version,
 )
 
 __all__ = [
@@ -26,7 +26,7 @@ __all__ = [
     "read_typed_csv",
     "rows_to_frame",
     "save_model",
-    "spread_scan",
     "to_messages",
     "write_table",
+    "write_version",
 ]

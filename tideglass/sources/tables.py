@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import time
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from urllib.parse import unquote, urlparse
 
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideglass.functions.casting import lenient_cast
+from tideglass.sources.messages import JSON_OPTIONS
 
 # Raised while a reader is being built over a folder that is missing or holds no data files.
 NO_DATA = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -25,8 +28,8 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType | None = None
     """
     try:
         if schema is not None:
-            return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-        return spark.read.option("primitivesAsString", True).json(path)
+            return spark.read.schema(schema).options(**JSON_OPTIONS).json(path)
+        return spark.read.option("primitivesAsString", True).options(**JSON_OPTIONS).json(path)
     except AnalysisException as error:
         if error.getCondition() not in NO_DATA:
             raise
@@ -48,17 +51,6 @@ def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Rows of a plain file scan dealt out to all cores, if it has fewer splits than cores.
-
-    For costly work per row on a small file with few row groups. Large inputs have more splits than
-    cores and stay as they are, so no large shuffle can come of this. ``df`` must be a scan with
-    narrow operations only.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_raw_csv(
     spark: SparkSession, path: str, *, multiline: bool = False, keep_empty: bool = True
 ) -> DataFrame:
@@ -121,11 +113,35 @@ def write_table(
 
 
 def _reads(df: DataFrame, path: str) -> bool:
+    """Whether a file scan of the plan has ``path``, a folder in it or one above it as a root."""
     target = urlparse(path)
-    folder = target.path if target.scheme else os.path.abspath(path)
-    for name in df.inputFiles():
-        file = urlparse(name)
-        same_store = not target.scheme or target.netloc == file.netloc
-        if same_store and unquote(file.path).startswith(folder.rstrip("/") + "/"):
+    folder = (target.path if target.scheme else os.path.abspath(path)).rstrip("/") + "/"
+    for root in _scan_roots(df):
+        place = urlparse(root)
+        same_store = not target.scheme or target.netloc == place.netloc
+        own = unquote(place.path).rstrip("/") + "/"
+        if same_store and (own.startswith(folder) or folder.startswith(own)):
             return True
     return False
+
+
+def _scan_roots(df: DataFrame) -> list[str]:
+    """Roots of the file scans in a plan: as many as were named to readers, not one per file."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
+def write_version(df: DataFrame, path: str, **layout) -> str:
+    """K2 for tables that are being read: write a new versioned folder under ``path`` and return its
+    path. Readers of an older version are not disturbed; removing old versions is the caller's."""
+    version = f"{path.rstrip('/')}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    write_table(df, version, **layout)
+    return version
