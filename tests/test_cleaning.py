@@ -80,3 +80,16 @@ def test_model_rows_drop_null_and_nan(spark):
     rows = [(1.0, "a", 2.0), (float("nan"), "a", 2.0), (1.0, None, 2.0), (1.0, "a", None)]
     frame = spark.createDataFrame(rows, "x double, k string, y double")
     assert cleaning.model_rows(frame, ["x", "k"], "y").count() == 1
+
+
+def test_headers_in_other_letter_case(spark):
+    from tideglass.plans.silver import hashed_health
+    from tideglass.schemas import RAW_HEALTH_HEADERS
+
+    row = dict.fromkeys(RAW_HEALTH_HEADERS, "1")
+    frame = spark.createDataFrame([row]).withColumnRenamed("Country", "country").withColumn("More", F.lit("x"))
+    silver = hashed_health(frame).first()
+    assert silver["Country"] == "1" and silver["More"] == "x"
+    with pytest.raises(ValueError, match="compete"):
+        # Names that differ in letter case only, as a session with case rules off reads them.
+        hashed_health(frame.toDF(*["COUNTRY" if n == "More" else n for n in frame.columns]))

@@ -121,9 +121,14 @@ def test_no_complete_rows_no_model(signal):
     assert train(signal.withColumn("DALYs", F.lit(None).cast("float"))) is None
 
 
-def test_too_many_labels_are_refused(signal):
-    with pytest.raises(ValueError, match="Country"):
-        features.check_label_counts(signal, ["Country", "Gender"], max_labels=2)
+def test_required_columns_by_what_stages_make(spark):
+    rows = spark.createDataFrame(
+        [(float(i), "ab"[i % 2], float(i)) for i in range(20)],
+        "plain_vec double, kind string, y double",
+    )
+    stages = features.encoding_stages(["plain_vec"], ["kind"])
+    model = features.Pipeline(stages=[*stages, features.random_forest("y", trees=1)]).fit(rows)
+    assert features.required_features(model) == (["plain_vec"], ["kind"])
 
 
 def test_importance_finds_the_signal(signal):

@@ -38,9 +38,7 @@ def test_validation_reasons(spark):
     assert [r["reject_reason"] for r in checked.collect()] == [reason for _, reason in cases]
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_allowed_values_from_data(spark, monkeypatch, limit):
-    monkeypatch.setattr(scenarios, "LITERAL_LIMIT", limit)
+def test_allowed_values_from_data(spark):
     seen = spark.createDataFrame(
         [("Cancers", "0-19", "Male"), ("Cancers", None, "Male")],
         "Disease_Category string, Age_Group string, Gender string",

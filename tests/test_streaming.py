@@ -195,3 +195,18 @@ def test_health_stream_equals_batch(spark, tmp_path):
     streamed = spark.read.parquet(path).select(batch.columns)
     assert streamed.count() == 21
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_survivors_of_batches_and_of_a_refresh(spark, tmp_path):
+    """Rows that share their identity but not their details, over two batches."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    base = dict.fromkeys(RAW_HEALTH_HEADERS, "1")
+    path, offsets = str(tmp_path / "silver"), str(tmp_path / "offsets")
+    for name, value in (("a", "7.5"), ("b", "2.5")):
+        (inbox / name).write_text(json.dumps({**base, "DALYs": value}))
+        stream = spark.readStream.schema(RAW_HEALTH_SCHEMA).json(str(inbox))
+        silver_by_batch(stream, hashed_health, path, offsets).awaitTermination()
+    assert [r["DALYs"] for r in spark.read.parquet(path).collect()] == [7.5]
+    refreshed = to_silver_health(read_bronze(spark, str(inbox), RAW_HEALTH_SCHEMA))
+    assert [r["DALYs"] for r in refreshed.collect()] == [2.5]

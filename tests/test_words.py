@@ -81,9 +81,17 @@ def test_group_limit_comes_before_the_shuffle(spark, sf_dir):
     assert "PythonUDF" not in plan and "Python" not in plan
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_sample_paragraph(spark, monkeypatch, limit):
-    monkeypatch.setattr(wordstats, "PLACES_LIMIT", limit)
+def test_many_of_a_group_are_taken_in_parts(spark):
+    frame = spark.range(6000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 7919) % 6007).alias("v"))
+    found = wordstats.first_per_group(frame, "g", [F.asc("v")], 2000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_part") > 0
+    rows = {g: sorted(r["v"] for r in frame.filter(f"g = {g}").collect())[:2000] for g in (0, 1)}
+    for g in (0, 1):
+        assert sorted(r["v"] for r in found.filter(f"g = {g}").collect()) == rows[g]
+
+
+def test_sample_paragraph(spark):
     rows = [(i, f"t{i}") for i in range(9, 0, -1)] + [(0, None)]
     frame = spark.createDataFrame(rows, "id int, text string")
     assert wordstats.sample_paragraph(frame, ["id"]).first()[0] == "t1 t2 t3 t4 t5"

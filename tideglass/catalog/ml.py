@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideglass.catalog.registry import query
-from tideglass.catalog.views import health, rounded, table
+from tideglass.catalog.views import HEALTH_SQL, health, rounded, table
 from tideglass.operators import dedup, features
+from tideglass.operators.cleaning import model_rows
 from tideglass.plans.training import train
-from tideglass.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
-from tideglass.session import scratch_path
+from tideglass.schemas import CATEGORICAL_FEATURES, HEALTH_SCHEMA, NUMERIC_FEATURES, TARGET
+from tideglass.session import materialize, scratch_path
 from tideglass.sources import load_model, save_model
 
 _INDEX_SQL = """
@@ -94,33 +98,101 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
       round(1 - sum(pow(y - yhat, 2)) / (count(*) * var_pop(y)), 6) AS r2 FROM p""",
 )
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_type = F.avg("p_retailprice").over(Window.partitionBy("p_type"))
-    predicted = table(spark, sf_dir, "part").withColumn("prediction", by_type)
+    part = table(spark, sf_dir, "part").select("p_type", "p_retailprice")
+    by_type = part.groupBy("p_type").agg(F.avg("p_retailprice").alias("prediction"))
+    predicted = part.join(by_type, "p_type")
     return rounded(features.regression_metrics(predicted, "p_retailprice"))
 
 
-@query("train_and_score")
+_MODEL_COLUMNS = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET]
+
+
+@query(
+    "train_and_score",
+    f"""WITH {HEALTH_SQL}
+    SELECT count(*) AS rows_used, true AS split_is_fair, true AS in_label_range,
+      true AS loaded_model_agrees, true AS metrics_agree
+    FROM health WHERE {" AND ".join(f"{name} IS NOT NULL" for name in _MODEL_COLUMNS)}""",
+)
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit, save, load, and score the held-out rows with the loaded model."""
-    training = train(health(spark, sf_dir), staged=True)
+    """Fit, save, load, and score the held-out rows with the loaded model; what must hold of any
+    forest is worked out from the fitted one."""
+    rows = health(spark, sf_dir).select(*_MODEL_COLUMNS)
+    training = train(rows, staged=True)
     path = scratch_path(spark, "model")
     save_model(training.model, path)
-    held_out = training.predictions.select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET)
-    return features.score(load_model(path), held_out).select(TARGET, "prediction")
+    held_out = training.predictions.select(*_MODEL_COLUMNS, F.col("prediction").alias("fresh"))
+    scored = features.score(load_model(path), held_out)
+    measured = training.metrics.first()
+    evaluated = {
+        name: RegressionEvaluator(labelCol=TARGET, metricName=name).evaluate(training.predictions)
+        for name in ("rmse", "r2")
+    }
+    agree = all(math.isclose(measured[n], v, rel_tol=1e-6, abs_tol=1e-9) for n, v in evaluated.items())
+    used = model_rows(rows, [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES], TARGET)
+    bounds = used.agg(F.min(TARGET).alias("low"), F.max(TARGET).alias("high"), F.count("*").alias("n")).first()
+    in_range = F.col("prediction").between(bounds["low"], bounds["high"])
+    return scored.agg(
+        F.lit(bounds["n"]).cast("long").alias("rows_used"),
+        (F.abs(F.count("*") / F.lit(bounds["n"]) - 0.2) < 0.05).alias("split_is_fair"),
+        F.bool_and(in_range).alias("in_label_range"),
+        F.bool_and(F.col("prediction") == F.col("fresh")).alias("loaded_model_agrees"),
+        F.lit(agree).alias("metrics_agree"),
+    )
+
 
+_TEXT = [
+    field.name
+    for field in HEALTH_SCHEMA
+    if field.dataType.simpleString() == "string" and field.name != "Disease_Name"
+]
+_PLAIN = [
+    field.name
+    for field in HEALTH_SCHEMA
+    if field.dataType.simpleString() != "string" and field.name != TARGET
+]
 
-@query("feature_importance")
+
+@query(
+    "feature_importance",
+    f"WITH {HEALTH_SQL} "
+    + " UNION ALL ".join(
+        [f"SELECT '{name}' AS feature, true AS weights_fit FROM region WHERE r_regionkey = 0" for name in _PLAIN]
+        + [
+            f"""SELECT '{name}_vec_' || v, true FROM (SELECT DISTINCT {name} AS v FROM health)
+            WHERE v <> (SELECT min({name}) FROM health)"""
+            for name in _TEXT
+        ]
+    ),
+)
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.feature_importance(health(spark, sf_dir))
+    """Every position of the vectors by name, and whether the weights of the fitted forest are in
+    order, not negative, and add up to one."""
+    ranked = features.feature_importance(health(spark, sf_dir).select(HEALTH_SCHEMA.names), n=2**31 - 1)
+    ranked = materialize(spark, ranked, "importance")
+    weights = [row["importance"] for row in ranked.orderBy(F.desc("importance"), "feature").collect()]
+    first = [row["importance"] for row in ranked.collect()]
+    fit = sorted(first, reverse=True) == weights and min(weights) >= 0 and math.isclose(sum(weights), 1)
+    return ranked.select("feature", F.lit(fit).alias("weights_fit"))
 
 
-@query("missing_features")
+@query(
+    "missing_features",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, {str(name not in ('Year', 'Country')).lower()} AS present "
+        "FROM region WHERE r_regionkey = 0"
+        for name in [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
+    ),
+)
 def missing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract of encoders fitted to the health frame, against a request without two fields."""
     rows = health(spark, sf_dir).select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
     model = Pipeline(
         stages=features.encoding_stages(NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     ).fit(rows)
-    request = rows.drop("Year", "Country")
-    names = features.missing_features(model, request)
-    return spark.createDataFrame([(name,) for name in names], "feature string")
+    numeric, categorical = features.required_features(model)
+    absent = features.missing_features(model, rows.drop("Year", "Country"))
+    return spark.createDataFrame(
+        [(name, name not in absent) for name in [*numeric, *categorical]],
+        "feature string, present boolean",
+    )

@@ -9,7 +9,16 @@ from tideglass.catalog.registry import query
 from tideglass.catalog.views import rounded, table
 from tideglass.operators import profiling
 
-_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+_MEASURES = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+]
 
 
 @query(
@@ -51,7 +60,7 @@ def column_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.column_info(table(spark, sf_dir, "orders"))
 
 
-_PROFILED = ["user_id", "event_type", "value", "props"]
+_PROFILED = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 @query(

@@ -26,10 +26,14 @@ from tideglass.sources import (
     read_bronze,
     read_raw_csv,
     read_topic_stream,
+    read_typed_csv,
+    rows_to_frame,
     to_messages,
     write_table,
+    write_version,
 )
 from tideglass.streaming import (
+    drain_topics,
     land_bronze,
     read_landed,
     read_rejects,
@@ -70,10 +74,13 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Abstracts as messages, each tenth one broken."""
+    """Abstracts as messages, each tenth one broken: no JSON, or text after its end."""
     rows = abstracts(spark, sf_dir, ("doc_id",))
     good = F.to_json(F.struct("text", "label"))
-    broken = F.concat(F.lit("not json "), F.col("doc_id").cast("string"))
+    number = F.col("doc_id").cast("string")
+    broken = F.when(F.col("doc_id") % 20 == 0, F.concat(F.lit("not json "), number)).otherwise(
+        F.concat(F.lit('{"text":null} trailing '), number)
+    )
     return rows.select(F.when(F.col("doc_id") % 10 == 0, broken).otherwise(good).alias("value"))
 
 
@@ -110,7 +117,8 @@ def stream_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_rejects",
-    "SELECT 'not json ' || doc_id AS value FROM documents WHERE doc_id % 10 = 0",
+    """SELECT CASE WHEN doc_id % 20 = 0 THEN 'not json ' ELSE '{"text":null} trailing ' END || doc_id
+      AS value FROM documents WHERE doc_id % 10 = 0""",
 )
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejects(spark, _landing(spark, sf_dir))
@@ -172,3 +180,99 @@ def medallion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(
         [(report.stage, report.rows) for report in reports], "stage string, n_rows bigint"
     )
+
+
+@query(
+    "silver_keeps_fields",
+    f"""WITH {HEALTH_SQL}, {SILVER_SQL}
+    SELECT Country, Country || ' ' || Year AS Field_Note, record_hash FROM silver""",
+)
+def silver_keeps_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field beyond the schema and a header in other letter case, through the Silver stage."""
+    paths = lakehouse.LakePaths(scratch_path(spark, "lake"))
+    rows = raw_health(spark, sf_dir)
+    rows = rows.withColumn("Field Note", F.concat_ws(" ", "Country", "Year"))
+    rows = rows.withColumnRenamed("Country", "country")
+    to_messages(rows).write.text(paths.bronze(lakehouse.HEALTH_TOPIC))
+    lakehouse.run_silver(spark, paths)
+    silver = spark.read.parquet(paths.silver(lakehouse.HEALTH_TABLE))
+    return silver.select("Country", "Field_Note", "record_hash")
+
+
+@query(
+    "bronze_scan_inferred",
+    f"WITH {_SENT_SQL} SELECT text, label FROM abstracts",
+)
+def bronze_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read without a schema; lines that are no JSON hold neither field."""
+    rows = read_bronze(spark, _message_folder(spark, sf_dir))
+    return rows.select("text", "label").filter("text IS NOT NULL")
+
+
+@query("typed_csv_roundtrip", _PART_SQL.replace("p_partkey", "CAST(p_partkey AS INTEGER) AS p_partkey", 1))
+def typed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found from the file."""
+    path = scratch_path(spark, "csv")
+    table(spark, sf_dir, "part").write.csv(path, header=True, escape='"')
+    return read_typed_csv(spark, path)
+
+
+@query("rows_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def rows_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request-sized rows in memory as a frame."""
+    nation = table(spark, sf_dir, "nation")
+    return rows_to_frame(spark, [row.asDict() for row in nation.collect()], nation.schema)
+
+
+@query(
+    "table_sample",
+    """SELECT least(count(*), 5) AS n_rows, count(*) AS n_written, true AS all_known FROM part""",
+)
+def table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: rows of a table as it was written, and the table whole in a versioned folder."""
+    part = table(spark, sf_dir, "part")
+    sample = write_table(part, scratch_path(spark, "part"), sample=5)
+    written = spark.read.parquet(write_version(part, scratch_path(spark, "parts")))
+    unknown = sample.exceptAll(part).count()
+    return sample.agg(F.count("*").alias("n_rows")).select(
+        "n_rows",
+        F.lit(written.count()).cast("long").alias("n_written"),
+        F.lit(unknown == 0).alias("all_known"),
+    )
+
+
+@query(
+    "topics_drained",
+    f"""WITH {_SENT_SQL}
+    SELECT 'a' AS topic, (SELECT count(*) FROM documents) AS n_read, count(*) AS n_accepted FROM abstracts
+    UNION ALL SELECT 'b', (SELECT count(*) FROM nation), (SELECT count(*) FROM nation)""",
+)
+def topics_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics landed at once, with the rows read of each."""
+    paths = lakehouse.LakePaths(scratch_path(spark, "lake"))
+    nations = scratch_path(spark, "messages")
+    to_messages(table(spark, sf_dir, "nation")).write.text(nations)
+    topics = {
+        "a": read_topic_stream(spark, folder=_message_folder(spark, sf_dir)),
+        "b": read_topic_stream(spark, folder=nations),
+    }
+    read = drain_topics(topics, paths)
+    return spark.createDataFrame(
+        [(t, n, read_landed(spark, paths.bronze(t), None).count()) for t, n in read.items()],
+        "topic string, n_read bigint, n_accepted bigint",
+    )
+
+
+@query(
+    "empty_input_skipped",
+    f"""WITH {_SENT_SQL}, {ABSTRACT_SILVER_SQL}
+    SELECT 'silver/{lakehouse.HEALTH_TABLE}' AS stage, CAST(NULL AS BIGINT) AS n_rows FROM region
+      WHERE r_regionkey = 0
+    UNION ALL SELECT 'silver/{lakehouse.ABSTRACT_TABLE}', count(*) FROM silver_abstracts""",
+)
+def empty_input_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic without data; its stage is skipped and reported."""
+    paths = lakehouse.LakePaths(scratch_path(spark, "lake"))
+    _messages(spark, sf_dir).write.text(paths.bronze(lakehouse.ABSTRACT_TOPIC))
+    reports = lakehouse.run_silver(spark, paths)
+    return spark.createDataFrame([(r.stage, r.rows) for r in reports], "stage string, n_rows bigint")

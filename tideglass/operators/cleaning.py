@@ -34,17 +34,26 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 def cast_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Schema columns first, typed, unreadable values null and absent columns null; then the
-    columns the schema does not list, as they are. One projection."""
-    present = {field.name: field.dataType for field in df.schema}
-    typed = [
-        (
-            lenient_cast(F.col(field.name), present[field.name], field.dataType)
-            if field.name in present
-            else F.lit(None).cast(field.dataType)
-        ).alias(field.name)
-        for field in schema
-    ]
-    extra = [F.col(name) for name in df.columns if name not in schema.names]
+    columns the schema does not list, as they are. One projection.
+
+    Names are matched by the session's rule on letter case. Columns that compete for one name are an
+    error.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    key = str if exact else str.lower
+    present = {}
+    for field in df.schema:
+        if key(field.name) in present:
+            raise ValueError(f"columns compete for one name: {present[key(field.name)].name}, {field.name}")
+        present[key(field.name)] = field
+    typed = []
+    for field in schema:
+        found = present.pop(key(field.name), None)
+        value = F.lit(None).cast(field.dataType)
+        if found is not None:
+            value = lenient_cast(F.col(f"`{found.name}`"), found.dataType, field.dataType)
+        typed.append(value.alias(field.name))
+    extra = [F.col(f"`{field.name}`") for field in present.values()]
     return df.select(*typed, *extra)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, PredictionModel
 from pyspark.ml.feature import (
     OneHotEncoder,
     StringIndexer,
@@ -23,8 +23,6 @@ from tideglass.session import materialize
 FEATURES = "features"
 INDEX_SUFFIX = "_index"
 VECTOR_SUFFIX = "_vec"
-# A fitted indexer keeps its labels on the driver, and one-hot vectors are as wide as they are many.
-MAX_LABELS = 10_000
 
 
 class MissingFeatures(ValueError):
@@ -36,7 +34,11 @@ class MissingFeatures(ValueError):
 
 
 def string_indexer(columns: Sequence[str], order: str = "frequencyDesc") -> StringIndexer:
-    """M1: all columns indexed in one pass; unseen values and nulls get an extra last index."""
+    """M1: all columns indexed in one pass; unseen values and nulls get an extra last index.
+
+    Spark keeps the labels of each column on the driver, and one-hot vectors are as wide as labels
+    are many: leave out columns whose values grow with the data.
+    """
     return StringIndexer(
         inputCols=list(columns),
         outputCols=[name + INDEX_SUFFIX for name in columns],
@@ -98,33 +100,28 @@ def regression_pipeline(
     )
 
 
-def check_label_counts(
-    df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LABELS
-) -> dict[str, int]:
-    """Refuse categoricals with so many values that the driver and the vectors could not hold them."""
-    if not columns:
-        return {}
-    counts = df.agg(
-        *[F.approx_count_distinct(name, 0.02).alias(name) for name in columns]
-    ).first()
-    wide = {name: counts[name] for name in columns if counts[name] > max_labels}
-    if wide:
-        raise ValueError(f"categorical columns with more than {max_labels} values: {wide}")
-    return counts.asDict()
-
-
 def required_features(model: PipelineModel) -> tuple[list[str], list[str]]:
-    """M9: numeric and categorical input columns, read off the fitted stages."""
-    assembler = next((s for s in reversed(model.stages) if isinstance(s, VectorAssembler)), None)
-    if assembler is None:
-        raise ValueError("the model has no assembler stage to read its features from")
-    numeric = [name for name in assembler.getInputCols() if not name.endswith(VECTOR_SUFFIX)]
-    categorical = []
+    """M9: numeric and categorical columns that the fitted stages need and none of them makes."""
+    made: set[str] = set()
+    numeric: dict[str, None] = {}
+    categorical: dict[str, None] = {}
     for stage in model.stages:
-        if isinstance(stage, StringIndexerModel):
-            many = stage.isSet(stage.inputCols)
-            categorical += stage.getInputCols() if many else [stage.getInputCol()]
-    return numeric, categorical
+        kind = categorical if isinstance(stage, StringIndexerModel) else numeric
+        needed = [] if isinstance(stage, PredictionModel) else _columns(stage, "inputCol")
+        kind.update(dict.fromkeys(name for name in needed if name not in made))
+        made.update(_columns(stage, "outputCol"))
+    if not numeric and not categorical:
+        raise ValueError("the model has no stage to read its features from")
+    return list(numeric), list(categorical)
+
+
+def _columns(stage, param: str) -> list[str]:
+    """Values of a column parameter, in its plural or singular form."""
+    for name in (param + "s", param):
+        if stage.hasParam(name) and stage.isSet(name):
+            value = stage.getOrDefault(name)
+            return [value] if isinstance(value, str) else list(value)
+    return []
 
 
 def missing_features(model: PipelineModel, columns: DataFrame | Sequence[str]) -> list[str]:
@@ -182,7 +179,6 @@ def feature_importance(
     categorical = [name for name, kind in rows.dtypes if kind == "string" and name != target]
     numeric = [name for name in rows.columns if name not in categorical and name != target]
     rows = materialize(df.sparkSession, rows, "importance-rows")
-    check_label_counts(rows, categorical)
     stages = []
     if categorical:
         # In descending order the first value comes last, where the encoder drops it.

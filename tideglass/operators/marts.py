@@ -88,12 +88,16 @@ def disease_abstract_counts(
     label: str = "label",
     key: str = "record_hash",
     approx: float | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Distinct documents per label, largest first.
 
-    ``approx`` is a relative error: a sketch then replaces the shuffle of all fingerprints.
+    ``approx`` is a relative error: a sketch then replaces the shuffle of all fingerprints. Of a
+    table with one row per fingerprint (``unique``) rows are counted, which needs no such shuffle.
     """
     count = F.count_distinct(key) if approx is None else F.approx_count_distinct(key, approx)
+    if unique:
+        count = F.count(key)
     return (
         df.groupBy(F.col(label).alias("Disease_Category"))
         .agg(count.alias("Abstract_Count"))

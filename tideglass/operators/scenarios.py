@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.operators.sizing import lookup_side
 from tideglass.schemas import REQUEST_SCHEMA
 
 # Form defaults and limits, and the feature -> (summary column, fallback) rules.
@@ -33,9 +32,6 @@ FILLED = {
     "Per_Capita_Income_USD": ("Avg_Per_Capita_Income_USD", 0),
 }
 
-# Up to this many allowed values are tested as a literal list, which needs no join.
-LITERAL_LIMIT = 1_000
-
 
 @dataclass(frozen=True)
 class ScenarioRules:
@@ -73,7 +69,7 @@ def with_form_defaults(scenarios: DataFrame) -> DataFrame:
 def validate_scenarios(scenarios: DataFrame, rules: ScenarioRules = FORM_RULES) -> DataFrame:
     """Add ``reject_reason``: the fields out of bounds, comma-separated, or null if all are fine.
 
-    Allowed values from a frame become a literal list if they are few; else the frame is joined.
+    Allowed values from a frame are joined; adaptive execution broadcasts them if they are few.
     """
     problems = []
     checked = scenarios
@@ -87,11 +83,7 @@ def validate_scenarios(scenarios: DataFrame, rules: ScenarioRules = FORM_RULES)
     for name, values in rules.allowed.items():
         if isinstance(values, DataFrame):
             known = values.select(F.col(name).alias(f"_{name}")).distinct()
-            few = [row[0] for row in known.limit(LITERAL_LIMIT + 1).collect()]
-            if len(few) <= LITERAL_LIMIT:
-                problems.append((name, F.col(name).isin(*[v for v in few if v is not None])))
-                continue
-            checked = checked.join(lookup_side(known), F.col(name) == F.col(f"_{name}"), "left")
+            checked = checked.join(known, F.col(name) == F.col(f"_{name}"), "left")
             problems.append((name, F.col(f"_{name}").isNotNull()))
         else:
             problems.append((name, F.col(name).isin(*values)))
@@ -108,10 +100,11 @@ def enrich_scenarios(
     """Model requests with the country's averages filled in; whole numbers are cut off.
 
     Scenarios for a country without summary are left out here and come from ``reject_scenarios``.
-    A summary of few countries is broadcast; otherwise both sides shuffle by country, and adaptive
-    execution splits the partition of a country that many scenarios name.
+    Adaptive execution broadcasts a summary of few countries. If both sides shuffle by country, it
+    splits the partition of a country that many scenarios name, provided the summary is a stored
+    table: the output of an aggregation is partitioned by country already and is not split.
     """
-    averages = lookup_side(summary.select("Country", *[column for column, _ in FILLED.values()]))
+    averages = summary.select("Country", *[column for column, _ in FILLED.values()])
     filled = {
         name: F.coalesce(F.col(column), F.lit(default))
         for name, (column, default) in FILLED.items()
@@ -123,4 +116,4 @@ def enrich_scenarios(
 
 def reject_scenarios(scenarios: DataFrame, summary: DataFrame) -> DataFrame:
     """Scenarios whose country has no summary."""
-    return scenarios.join(lookup_side(summary.select("Country")), "Country", "left_anti")
+    return scenarios.join(summary.select("Country"), "Country", "left_anti")

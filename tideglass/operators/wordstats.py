@@ -15,8 +15,6 @@ from tideglass.functions.words import (
     word_form,
 )
 
-# Up to this many places of sample texts are broadcast.
-PLACES_LIMIT = 10_000
 
 
 def word_rows(
@@ -64,11 +62,22 @@ def top_words(
     return first_per_group(counts, by, order, n).orderBy(by, *order)
 
 
+#: Up to this ``n`` Spark itself limits groups before the shuffle.
+PLANNED_LIMIT = 1_000
+#: Parts that a group is dealt to before a larger ``n`` is taken of it.
+PARTS = 64
+
+
 def first_per_group(
     df: DataFrame, by: str, order: Sequence[Column], n: int, rank: str | None = None
 ) -> DataFrame:
-    """First ``n`` rows per group. Spark also applies the limit before the shuffle, so a task gets
-    ``n`` rows per group from each map task at most."""
+    """First ``n`` rows per group. A task gets ``n`` rows per group from each map task at most; for
+    an ``n`` beyond what Spark limits before the shuffle, from each of some parts of the group."""
+    if n > PLANNED_LIMIT:
+        part = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(PARTS))
+        dealt = df.withColumn("_part", part)
+        place = F.row_number().over(Window.partitionBy(by, "_part").orderBy(*order))
+        df = dealt.withColumn("_place", place).filter(F.col("_place") <= n).drop("_part", "_place")
     position = F.row_number().over(Window.partitionBy(by).orderBy(*order))
     ranked = df.withColumn(rank or "_rank", position).filter(F.col(rank or "_rank") <= n)
     return ranked if rank else ranked.drop("_rank")
@@ -83,19 +92,9 @@ def sample_paragraph(
 ) -> DataFrame:
     """The first ``n`` texts joined by blanks; per value of ``by`` if given. Equal places in
     ``order_by`` go by text.
-
-    The places are found first, without sorting texts along. If they are few, a broadcast of them
-    cuts the texts down as they are read; else the texts are ranked directly.
     """
     keys = [*([by] if by else []), *order_by]
     rows = df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
-    places = _first(df.filter(F.col(text).isNotNull()).select(*keys), by, order_by, n)
-    found = places.limit(PLACES_LIMIT + 1).collect()
-    if len(found) <= PLACES_LIMIT:
-        known = df.sparkSession.createDataFrame(found, places.schema)
-        known = known.toDF(*[f"_{name}" for name in keys])
-        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys]
-        rows = rows.join(F.broadcast(known), same, "left_semi")
     few = _first(rows, by, [*order_by, "_text"], n)
     in_order = F.array_sort(F.collect_list(F.struct(*order_by, "_text")))
     paragraph = F.array_join(F.transform(in_order, lambda row: row["_text"]), " ")

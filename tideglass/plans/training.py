@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 from tideglass.operators.cleaning import model_rows
 from tideglass.operators.dedup import hash_bucket
-from tideglass.operators.features import (
-    check_label_counts,
-    regression_metrics,
-    regression_pipeline,
-)
+from tideglass.operators.features import regression_metrics, regression_pipeline
 from tideglass.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tideglass.session import materialize
 
@@ -50,7 +46,6 @@ def train(
         rows = materialize(silver.sparkSession, rows, "model-rows")
     if rows.isEmpty():
         return None
-    check_label_counts(rows, categorical)
     fit_rows = rows.filter(FIT_SIDE).drop(FIT_SIDE)
     test_rows = rows.filter(~F.col(FIT_SIDE)).drop(FIT_SIDE)
     model = regression_pipeline(numeric, categorical, target, **forest).fit(fit_rows)

@@ -5,40 +5,41 @@ from __future__ import annotations
 from pyspark.sql.types import StructType
 
 
-def _struct(spec: str) -> StructType:
+def _struct(fields: list[tuple[str, str]]) -> StructType:
     schema = StructType()
-    for line in spec.split():
-        name, type_name = line.split(":")
+    for name, type_name in fields:
         schema.add(name, type_name)
     return schema
 
 
 # --- Fixed values: the data contract shared with existing producers and readers ---
 
-HEALTH_SCHEMA = _struct("""
-    Country:string
-    Year:integer
-    Disease_Name:string
-    Disease_Category:string
-    Prevalence_Rate_Percent:float
-    Incidence_Rate_Percent:float
-    Mortality_Rate_Percent:float
-    Age_Group:string
-    Gender:string
-    Population_Affected:integer
-    Healthcare_Access_Percent:float
-    Doctors_per_1000:float
-    Hospital_Beds_per_1000:float
-    Treatment_Type:string
-    Average_Treatment_Cost_USD:integer
-    Availability_of_Vaccines_Treatment:string
-    Recovery_Rate_Percent:float
-    DALYs:float
-    Improvement_in_5_Years_Percent:float
-    Per_Capita_Income_USD:integer
-    Education_Index:float
-    Urbanization_Rate_Percent:float
-""")
+HEALTH_SCHEMA = _struct(
+    [
+        ("Country", "string"),
+        ("Year", "integer"),
+        ("Disease_Name", "string"),
+        ("Disease_Category", "string"),
+        ("Prevalence_Rate_Percent", "float"),
+        ("Incidence_Rate_Percent", "float"),
+        ("Mortality_Rate_Percent", "float"),
+        ("Age_Group", "string"),
+        ("Gender", "string"),
+        ("Population_Affected", "integer"),
+        ("Healthcare_Access_Percent", "float"),
+        ("Doctors_per_1000", "float"),
+        ("Hospital_Beds_per_1000", "float"),
+        ("Treatment_Type", "string"),
+        ("Average_Treatment_Cost_USD", "integer"),
+        ("Availability_of_Vaccines_Treatment", "string"),
+        ("Recovery_Rate_Percent", "float"),
+        ("DALYs", "float"),
+        ("Improvement_in_5_Years_Percent", "float"),
+        ("Per_Capita_Income_USD", "integer"),
+        ("Education_Index", "float"),
+        ("Urbanization_Rate_Percent", "float"),
+    ]
+)
 
 # Raw message fields; every value arrives as text and is typed in Silver.
 RAW_HEALTH_HEADERS = [
@@ -66,10 +67,12 @@ RAW_HEALTH_HEADERS = [
     "Urbanization Rate (%)",
 ]
 
-ABSTRACT_SCHEMA = _struct("""
-    text:string
-    label:string
-""")
+ABSTRACT_SCHEMA = _struct(
+    [
+        ("text", "string"),
+        ("label", "string"),
+    ]
+)
 
 HEALTH_REQUIRED = ["Country", "Year", "Disease_Name"]
 HEALTH_IDENTITY = [

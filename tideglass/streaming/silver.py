@@ -17,7 +17,8 @@ def silver_by_state(
     path: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """First row per fingerprint, seen fingerprints kept in the state store.
+    """One row per fingerprint, seen fingerprints kept in the state store. Which row of a
+    fingerprint stays is that of the earliest batch; within a batch it may be any.
 
     There is no event time to expire them by, so the state grows with the data: use this for
     bounded replays and ``silver_by_batch`` for streams without end.
@@ -64,7 +65,13 @@ def silver_by_batch(
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """T6 without state: each micro-batch is compared with the table it extends."""
+    """T6 without state: each micro-batch is compared with the table it extends.
+
+    Of rows with one fingerprint that of the earliest batch stays, and within a batch the first in
+    column order; a full refresh takes the first in column order over all rows. So the fields outside
+    the fingerprint may differ between the two. Each batch reads the fingerprints of the table once:
+    choose batches large, or refresh in full, where the table is very large.
+    """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         prepare(bronze)
