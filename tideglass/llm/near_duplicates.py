@@ -11,8 +11,9 @@ set are one node throughout, however many there are. A bucket is settled when it
 component. Where it is not, it gets further centres in rounds that double their number, and only
 pairs across components not compared before are checked, until every member has been a centre. So no
 pair that shares a bucket is missed, while a group of copies costs one star. From the second round on,
-shingles that only one candidate has are counted out: a set whose other shingles are too few for a
-link with any member of a bucket is done there, and a pair is checked only if they are enough for it.
+shingles that only one component has are counted out, since they are in no intersection still to be
+found: a set whose other shingles are too few for a link with any member of a bucket is done there,
+and a pair is checked only if they are enough for it.
 
 With 6 bins a band and 50 bands, two sets with a similarity of 0.75 share no bucket with a chance of
 6e-5, at 0.8 with one of 2e-7.
@@ -243,19 +244,23 @@ def _enough(common: Column, both: Column, percent: int) -> Column:
 
 
 def _shared(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node`` and how many of its shingles occur in another of the ``nodes`` too."""
+    """``node`` and how many of its shingles occur in another component too; ``nodes`` has columns
+    ``node`` and ``component``."""
     spark = sets.sparkSession
-    entries = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("s"))
-    often = entries.groupBy("s").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("s")
-    common = entries.join(materialize(spark, often, "common-shingles"), "s")
-    return common.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    entries = sets.join(nodes, "node").select("node", "component", F.explode("shingles").alias("s"))
+    ends = entries.groupBy("s").agg(
+        F.min("component").alias("first"), F.max("component").alias("last")
+    )
+    across = materialize(spark, ends.where("first <> last").select("s"), "shared-shingles")
+    return entries.join(across, "s").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``members`` that share enough to link with the smallest set of their bucket at least, with
     ``shared`` and the ``size`` that is left of the bucket."""
     spark = members.sparkSession
-    shared = materialize(spark, _shared(sets, members.select("node").distinct()), "shared")
+    nodes = members.select("node", "component").distinct()
+    shared = materialize(spark, _shared(sets, nodes), "shared")
     members = materialize(spark, members.drop("shared", "size").join(shared, "node"), "members")
     least = members.groupBy("key").agg(F.min("n").alias("least"))
     able = members.join(materialize(spark, least, "least"), "key").where(
