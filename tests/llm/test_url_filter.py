@@ -2,10 +2,13 @@
 
 import random
 
-from tideglass.llm import components, url_filter
+import duckdb
+from tideglass.llm import catalog, components, url_filter
 from tideglass.llm.catalog import RULES
 from tideglass.llm.common import read_table
 
+from compare import connect, difference
+
 PAGES = [
     (1, "https://a.net/x", '<LINK href="http://B.example.org/es/1" rel=canonical>'),
     (2, "http://c.net/y#q", '<meta http-equiv="refresh" content="0; url=https://a.net/x?z=1#f">'),
@@ -47,6 +50,16 @@ def test_verdicts(spark):
     hosts = {row["page_id"]: (row["host"], row["path"]) for row in found}
     assert hosts[13] == ("x.org", "") and hosts[4] == ("", "") and hosts[6] == ("m.example.org", "/es/3")
     assert url_filter.judge(pages.where("false"), RULES).collect() == []
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    connection.executemany("INSERT INTO pages VALUES (?, ?, ?)", PAGES)
+    sql = catalog.SQL["op4_redirect_equivalence"]
+    assert difference(url_filter.judge(pages, RULES), connection, sql) is None
+
+
+def test_query_equals_sql(spark, sf_dir):
+    name = "op4_redirect_equivalence"
+    assert difference(catalog.QUERIES[name](spark, sf_dir), connect(sf_dir), catalog.SQL[name]) is None
 
 
 def test_given_redirects(spark):

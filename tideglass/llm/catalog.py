@@ -209,3 +209,70 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return hamming_index.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+_HOST = f"""translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+_PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_NODE = f"""CASE WHEN contains(url, '://')
+    THEN 'http://' || {_HOST} || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) END"""
+
+
+def _rule_case(value) -> str:
+    """SQL for what ``value`` says of the longest rule that fits ``host`` and ``path``."""
+    cases = [
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') "
+        f"THEN '{value(r)}'"
+        for r in sorted(RULES, key=lambda r: -len(r.name))
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+#: Patterns of the SQL twin; single quotes are doubled, as SQL wants them.
+_LINK_MARK = r"""(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b"""
+_LINK_PLACE = r"""(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)"""
+_META_MARK = r"""(?is)\bhttp-equiv\s*=\s*["'']?refresh\b"""
+_META_PLACE = r"""(?is)\bcontent\s*=.*?\burl\s*=\s*["'']?\s*([^"''\s>]+)"""
+
+
+def _tags(tag: str, mark: str, place: str) -> str:
+    return rf"""SELECT url, regexp_extract(t, '{place}', 1) AS target
+    FROM (SELECT url, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<{tag}\b[^>]*>')) AS t
+      FROM pages)
+    WHERE regexp_matches(t, '{mark}')"""
+
+
+SQL["op4_redirect_equivalence"] = f"""
+WITH RECURSIVE tags AS (
+    {_tags("link", _LINK_MARK, _LINK_PLACE)}
+    UNION ALL
+    {_tags("meta", _META_MARK, _META_PLACE)}),
+seen AS (
+    SELECT url AS source, {_NODE} AS node, trim(replace(target, '&amp;', '&')) AS t,
+        regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme,
+        regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS site, {_PATH} AS path,
+        coalesce(nullif(regexp_extract({_PATH}, '(?s)^(.*/)', 1), ''), '/') AS folder
+    FROM tags WHERE contains(url, '://') AND target <> ''),
+targets AS (
+    SELECT node, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+        WHEN starts_with(t, '//') THEN scheme || ':' || t WHEN starts_with(t, '/') THEN site || t
+        WHEN starts_with(t, '?') THEN site || path || t WHEN starts_with(t, '#') THEN source
+        WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL ELSE site || folder || t END AS url
+    FROM seen),
+pairs AS (SELECT node AS a, {_NODE} AS b FROM targets),
+links AS (
+    SELECT a, b FROM pairs WHERE a <> b UNION SELECT b, a FROM pairs WHERE a <> b),
+reach AS (
+    SELECT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+aliases AS (SELECT node, min(other) AS alias FROM reach GROUP BY node),
+judged AS (
+    SELECT alias, {_rule_case(lambda r: r.verdict)} AS own
+    FROM (SELECT alias, {_HOST} AS host, {_PATH} AS path FROM (SELECT alias, node AS url FROM aliases))),
+decided AS (
+    SELECT alias, CASE WHEN bool_or(own = 'allow') THEN 'allow' WHEN bool_or(own = 'block') THEN 'block' END AS shared
+    FROM judged GROUP BY alias),
+p AS (SELECT page_id, {_NODE} AS node, {_HOST} AS host, {_PATH} AS path FROM pages)
+SELECT page_id, host, path, {_rule_case(lambda r: r.name)} AS rule,
+    coalesce({_rule_case(lambda r: r.verdict)}, shared, 'allow') AS verdict, alias
+FROM p LEFT JOIN aliases USING (node) LEFT JOIN decided USING (alias)
+"""
