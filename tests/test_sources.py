@@ -1,3 +1,4 @@
+import os
 import json
 
 import pytest
@@ -7,6 +8,9 @@ from tideglass import sources
 from tideglass.schemas import ABSTRACT_SCHEMA, REQUEST_SCHEMA
 from tideglass.session import (
     broker_address,
+    build_session,
+    clear_scratch,
+    materialize,
     scratch_path,
     shared_folder,
     shuffle_conf,
@@ -132,6 +136,20 @@ class FakeSession:
         self.sparkContext = type("Context", (), {"master": master})()
 
 
+def test_scratch_copies_can_be_cleared(spark):
+    kept = materialize(spark, spark.range(3), "x")
+    assert kept.count() == 3
+    folder = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file://")
+    assert os.listdir(folder)
+    clear_scratch(spark)
+    assert not os.path.exists(folder)
+
+
+def test_store_settings_of_the_cluster_stay(spark):
+    build_session("again", env={})
+    assert spark.conf.get("spark.hadoop.fs.s3a.endpoint", None) is None
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     assert shared_folder(FakeSession("local[2]")) == shared_folder(FakeSession("local[2]"))
     with pytest.raises(RuntimeError):

@@ -35,7 +35,9 @@ def _setting(env: Mapping[str, str], entry: tuple[str, str]) -> str:
 
 
 def storage_conf(env: Mapping[str, str] | None = None) -> dict[str, str]:
-    """S3A connection options from the environment. Paths alone choose local or object storage."""
+    """S3A connection options from the environment, with the layout's defaults for what is not
+    set. Paths alone choose local or object storage. ``build_session`` applies them only if one of the
+    variables is set, so that a cluster's own store settings stay."""
     env = os.environ if env is None else env
     return {
         "spark.hadoop.fs.s3a.endpoint": _setting(env, STORE_ENDPOINT),
@@ -60,7 +62,9 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {**ENGINE_CONF, **storage_conf(env), **(conf or {})}
+    given = os.environ if env is None else env
+    asked = any(name in given for name, _ in (STORE_ENDPOINT, STORE_ACCESS_KEY, STORE_SECRET_KEY))
+    settings = {**ENGINE_CONF, **(storage_conf(given) if asked else {}), **(conf or {})}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -98,9 +102,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its scratch copies."""
+    return f"{shared_folder(spark)}/tideglass/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path under the shared folder; never one that an earlier run has written."""
-    return f"{shared_folder(spark)}/tideglass/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch copies of this application. Frames that read them end with it, so call it
+    when their results are written."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(spark: SparkSession, df, name: str):
