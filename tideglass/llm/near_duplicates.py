@@ -10,10 +10,10 @@ the pairs (centre, member) are candidates, and these are confirmed on the full s
 set are one node throughout, however many there are. A bucket is settled when its members are in one
 component. Where it is not, it gets further centres in rounds that double their number, and only
 pairs across components not compared before are checked, until every member has been a centre. So no
-pair that shares a bucket is missed, while a group of copies costs one star. From the second round on,
-shingles that only one component has are counted out, since they are in no intersection still to be
-found: a set whose other shingles are too few for a link with any member of a bucket is done there,
-and a pair is checked only if they are enough for it.
+pair that shares a bucket is missed, while a group of copies costs one star. Shingles
+that only one node (later: one component) has are counted out, since they are in no intersection still
+to be found: a set whose other shingles are too few for a link with any member of a bucket is done
+there, and a pair is checked only if they are enough for it.
 
 With 6 bins a band and 50 bands, two sets with a similarity of 0.75 share no bucket with a chance of
 6e-5, at 0.8 with one of 2e-7.
@@ -320,10 +320,11 @@ def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int)
         spark, texts.mapInArrow(_sets(shingle_words), f"node {kind}, shingles array<long>"), "sets"
     )
     alone = members.withColumns({"component": F.col("node"), "shared": F.col("n")})
-    tested = materialize(spark, _pairs(alone, 0, 1, percent), "pairs")
+    members = _able(alone, sets, percent)
+    tested = materialize(spark, _pairs(members, 0, 1, percent), "pairs")
     links = materialize(spark, confirmed(tested, sets, percent), "links")
     labels = materialize(spark, components(links), "labels")
-    members = _able(_unsettled(alone, labels, 1), sets, percent)
+    members = _able(_unsettled(members, labels, 1), sets, percent)
     low, high = 0, 2
     while True:
         seen = _unsettled(members, labels, low)
