@@ -36,9 +36,9 @@ BITS, PROBES, BASE = 8, 5, 1.5
 #: Strength of the prior, in tokens.
 MU = 500.0
 #: Words in the broadcast table of exact counts at most; filter bytes sent at once at most.
-HEAD_WORDS, WAVE_BYTES = 1 << 20, 128 << 20
+HEAD_WORDS, WAVE_BYTES = 1 << 20, 96 << 20
 #: N-grams (with repeats) that a range of hashes gets, about; distinct ones summed at once in a task.
-RANGE_GRAMS, SUM_AT = 4 << 20, 2 << 20
+RANGE_GRAMS, SUM_AT = 2 << 20, 1 << 20
 
 END = np.uint64(0x5851F42D4C957F2D)
 
