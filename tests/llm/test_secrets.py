@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from tideglass.llm import secrets
 from tideglass.llm.common import read_table
 from tideglass.llm.secrets import KINDS, find_secrets, redact, secret_spans
 
@@ -83,6 +84,37 @@ def test_clean_words_hold_nothing():
     assert find_secrets("ciónquequeesosrruemi whatevernineteenletters path/to/some/long_file-name-here") == ([], [])
 
 
+@pytest.mark.parametrize(
+    "payload",
+    [
+        gzip.compress(b"hello") + gzip.compress(SECRET.encode()),
+        gzip.compress(b"hello") + bytes(512) + gzip.compress(SECRET.encode()),
+        gzip.compress("aé\n".encode() * 1500 + SECRET.encode()),
+        gzip.compress(b"word " * 1200 + b"\npassword" + b" " * 3000 + b"=  hunter2x\n" + b"word " * 1000),
+        gzip.compress(b"x" * 5000 + SECRET.encode()),
+        gzip.compress(b"\0" * 9000 + SECRET.encode()),
+        gzip.compress(b64(b"filler, " * 1500 + SECRET.encode()).encode()),
+        gzip.compress(base64.encodebytes(b"filler, " * 1500 + SECRET.encode())),
+        gzip.compress(("".join(f"%{b:02x}" for b in (b"z" * 3000 + SECRET.encode()))).encode()),
+        gzip.compress(gzip.compress(bytes(i * i % 251 for i in range(9000)) + SECRET.encode(), 0)),
+        gzip.compress(SECRET.encode())[:-8] + bytes(8),
+        gzip.compress(b'{"data": "%s"}' % b64(gzip.compress(bytes(9000) + SECRET.encode(), 0)).encode()),
+    ],
+    ids=lambda payload: f"{len(payload)} bytes",
+)
+def test_compressed_layers_are_scanned_to_their_end(monkeypatch, payload):
+    monkeypatch.setattr(secrets, "INFLATE_BYTES", 1000)
+    monkeypatch.setattr(secrets, "_PIECE", 300)
+    inner = b64(payload).replace("+", "-").replace("/", "_")
+    text = f"é before {inner} after"
+    assert find_secrets(text) == (plain(text), [(9, 0, 9 + len(inner))])
+
+
+def test_a_layer_of_more_than_the_limit():
+    inner = b64(gzip.compress("wörter und, ".encode() * (5 << 20) + SECRET.encode(), 1))
+    assert find_secrets(f"é before {inner} after")[1] == [(9, 0, 9 + len(inner))]
+
+
 def test_table_equals_plain_patterns(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents")
     for row in secret_spans(documents.select("doc_id", "text")).join(documents.select("doc_id", "text"), "doc_id").collect():

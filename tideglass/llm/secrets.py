@@ -8,19 +8,23 @@ before at the same place is not followed again, so cycles end.
 
 A find in a layer is added only if decoded characters take part in it; base spans always stay.
 
+Compressed data are inflated to their end, all members. A layer of more than ``INFLATE_BYTES`` is not
+held: it is made piece by piece, as often as needed, and gone through in windows that end where no
+find, escape or base64 run can reach across. A run longer than a window is decoded as a layer made
+piece by piece in turn. So memory is bounded, and time grows with what the data inflate to.
+
 Null and empty texts have no spans. Ids are not looked at; repeated rows are scanned one by one.
-``INFLATE_BYTES`` bounds what one compressed layer may inflate to in a worker: of more, as many
-bytes are scanned.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import hashlib
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,9 +47,12 @@ PATTERNS = {
     "hex": re.compile(r"[0-9a-f]+"),
 }
 LEAST = {"assign": 6, "access": 20, "hex": 24}
+_LONG_HEX = re.compile("[0-9a-f]{%d,}" % LEAST["hex"])
 _NAMES = ("passw", "secret", "token", "api")
 
+#: Bytes of an inflated layer that a worker holds at once, about, and of a step of inflating.
 INFLATE_BYTES = 64 << 20
+_PIECE = 1 << 18
 
 #: The fewest characters of a base64 run: twelve bytes hold the shortest assignment.
 BASE64_RUN = 16
@@ -79,6 +86,7 @@ class Layer:
     start: list[int]
     end: list[int]
     literal: list[bool]
+    is_bytes: bool = False
 
     def piece(self, at: int) -> int:
         return bisect_right(self.new, at) - 1
@@ -108,9 +116,8 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
         for match in PATTERNS["access"].finditer(text):
             if match.end() - match.start() >= LEAST["access"]:
                 yield "access", match.start(), match.end()
-    for match in PATTERNS["hex"].finditer(text):
-        if match.end() - match.start() >= LEAST["hex"]:
-            yield "hex", match.start(), match.end()
+    for match in _LONG_HEX.finditer(text):
+        yield "hex", match.start(), match.end()
 
 
 def _unicode(run: str) -> str:
@@ -177,63 +184,286 @@ def unescape(layer: Layer, kind: str) -> Layer | None:
     return Layer("".join(parts), new, start, end, literal) if size else None
 
 
-def _inflate(raw: bytes) -> bytes | None:
+def _bits(raw: bytes) -> int:
+    """What zlib must be told to inflate data with this beginning; 0 if they are not compressed."""
     if raw[:2] == b"\x1f\x8b":
-        bits = 31
-    elif len(raw) > 2 and raw[0] & 0x0F == 8 and ((raw[0] << 8) | raw[1]) % 31 == 0:
-        bits = 15
-    else:
-        return None
-    try:
-        return zlib.decompressobj(bits).decompress(raw, INFLATE_BYTES)
-    except zlib.error:
-        return None
+        return 31
+    return 15 if len(raw) > 2 and raw[0] & 0x0F == 8 and ((raw[0] << 8) | raw[1]) % 31 == 0 else 0
+
+
+def inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """What compressed data inflate to, member after member, in pieces; of broken data, what comes
+    before the break. Zero bytes may stand between members."""
+    data = b""
+    while True:
+        while len(data) < 3 and (more := next(chunks, None)) is not None:
+            data = (data + more).lstrip(b"\0")
+        bits = _bits(data)
+        if not bits:
+            return
+        member = zlib.decompressobj(bits)
+        while not member.eof:
+            before = member.copy()
+            try:
+                out = member.decompress(data, _PIECE)
+            except zlib.error:
+                yield from _until_break(before, data)
+                return
+            if out:
+                yield out
+            data = member.unconsumed_tail
+            if not data and not member.eof and len(out) < _PIECE and not (data := next(chunks, b"")):
+                return
+        data = member.unused_data.lstrip(b"\0")
+
+
+def _until_break(member, data: bytes) -> Iterator[bytes]:
+    for i in range(len(data)):
+        try:
+            out = member.decompress(data[i : i + 1], _PIECE)
+            while out:
+                yield out
+                out = member.decompress(member.unconsumed_tail, _PIECE)
+        except zlib.error:
+            return
+
+
+@dataclass(frozen=True)
+class Stream:
+    """A layer too long to be held: its pieces can be made again and again. All of it stands for the
+    original characters from ``start`` to ``end``."""
+
+    pieces: Callable[[], Iterator[bytes]]
+    start: int
+    end: int
+
+    def within(self, begin: int, stop: int) -> Iterator[bytes]:
+        at = 0
+        for piece in self.pieces():
+            if at >= stop:
+                return
+            if at + len(piece) > begin:
+                yield piece[max(begin - at, 0) : stop - at]
+            at += len(piece)
+
+    def digest(self) -> bytes:
+        sums = hashlib.blake2b(digest_size=16)
+        for piece in self.pieces():
+            sums.update(piece)
+        return sums.digest()
+
+
+def _held(pieces: Callable[[], Iterator[bytes]]) -> bytes | None:
+    """All bytes, if they are few enough to be held."""
+    parts, size = [], 0
+    for piece in pieces():
+        parts.append(piece)
+        size += len(piece)
+        if size > INFLATE_BYTES:
+            return None
+    return b"".join(parts)
+
+
+#: Where a text can be cut: after characters that are in no pattern, after a line too short to be one
+#: of wrapped base64, among zero bytes, and between words.
+_CUT = re.compile(
+    rb"[^A-Za-z0-9+/_=\-.%\\&#;{}:\"'\x20\r\n\x00]|(?<![^\n])[^\n]{0,59}\n|\x00{4}"
+    rb"|[A-Za-z0-9.]\x20(?=[A-Za-z0-9])"
+)
+_LEADS = re.compile(rb"[%\\&\x00]")
+
+
+def _cut(data: bytes, last: bool) -> int:
+    """The last place in the final megabyte, or the first of all, where ``data`` can be cut; 0 if none."""
+    found = 0
+    for match in _CUT.finditer(data, max(1, len(data) - (1 << 20)) if last else 1):
+        at = match.end()
+        if match.group()[-1:] == b" " and _LEADS.search(data, max(0, at - 200), at):
+            continue  # perhaps an assignment in escapes
+        found = at
+        if not last:
+            break
+    return found
 
 
-def decode_base64(run: str) -> str | None:
-    """The text in a base64 run (either alphabet, padded or not), inflated as often as it is
-    compressed; None if it is no text."""
+def _windows(stream: Stream) -> Iterator[tuple[int, int, bytes | None]]:
+    """Begin, end and bytes of the parts of a stream; no bytes for parts too long to be held."""
+    begin, parts, size, long = 0, [], 0, 0
+    for piece in stream.pieces():
+        parts.append(piece)
+        size += len(piece)
+        if long:  # only the last bytes are kept
+            data = b"".join(parts)
+            cut = _cut(data, last=False)
+            if cut:
+                stop = long + cut
+                yield begin, stop, None
+                begin, parts, size, long = stop, [data[cut:]], len(data) - cut, 0
+            else:
+                keep = data[-256:]
+                long += len(data) - len(keep)
+                parts, size = [keep], len(keep)
+        elif size >= INFLATE_BYTES:
+            data = b"".join(parts)
+            cut = _cut(data, last=True) or _cut(data, last=False)
+            if cut:
+                yield begin, begin + cut, data[:cut]
+                begin, parts, size = begin + cut, [data[cut:]], len(data) - cut
+            else:
+                keep = data[-256:]
+                long = begin + len(data) - len(keep)
+                parts, size = [keep], len(keep)
+    if long:
+        yield begin, long + size, None
+    elif size:
+        yield begin, begin + size, b"".join(parts)
+
+
+def _scan_pieces(pieces: Iterator[bytes]) -> set[str]:
+    """Kinds of the secrets in a text that comes in pieces."""
+    kinds: set[str] = set()
+    tail = ""
+    for piece in pieces:
+        text = re.sub(" {3,}", "  ", tail + piece.decode("latin-1"))
+        kinds.update(kind for kind, _, _ in scan(text))
+        start = max(0, len(text) - 96)
+        for match in PATTERNS["assign"].finditer(text):
+            if match.end() < len(text):
+                start = max(start, match.end())
+        tail = text[start:]
+    return kinds
+
+
+def _unescape_pieces(pieces: Iterator[bytes], kind: str) -> Iterator[bytes]:
+    tail = ""
+    for piece in pieces:
+        text = tail + piece.decode("latin-1")
+        lead = max(text.rfind(c, max(0, len(text) - 12)) for c in "%\\&")
+        cut = lead if lead >= 0 else len(text)
+        yield _ESCAPES[kind].sub(lambda m: _DECODE[kind](m.group()), text[:cut]).encode("utf-8", "replace")
+        tail = text[cut:]
+    yield _ESCAPES[kind].sub(lambda m: _DECODE[kind](m.group()), tail).encode("utf-8", "replace")
+
+
+_ALPHABET = bytes.maketrans(b"-_", b"+/")
+_RUN = re.compile(rb"[A-Za-z0-9+/_=\r\n-]+")
+_NO_BASE64 = re.compile(rb"[^A-Za-z0-9+/]+")
+
+
+def _base64_pieces(pieces: Iterator[bytes], skip: int) -> Iterator[bytes]:
+    """The bytes in base64 that comes in pieces, without its first ``skip`` characters."""
+    tail = b""
+    for piece in pieces:
+        clean = _NO_BASE64.sub(b"", piece.translate(_ALPHABET))
+        drop = min(skip, len(clean))
+        skip -= drop
+        body = tail + clean[drop:]
+        whole = len(body) - len(body) % 4
+        yield binascii.a2b_base64(body[:whole])
+        tail = body[whole:]
+    if len(tail) > 1:
+        yield binascii.a2b_base64(tail + b"=" * (4 - len(tail)))
+
+
+def _long_part(stream: Stream, begin: int, stop: int) -> Iterator[Stream]:
+    """The layers in a part of a stream that cannot be held."""
+    escapes: set[str] = set()
+    runs: list[list[int]] = []  # begin and end of base64 runs
+    at, tail = begin, b""
+    for piece in stream.within(begin, stop):
+        text = (tail + piece).decode("latin-1")
+        escapes.update(kind for kind, pattern in _ESCAPES.items() if pattern.search(text))
+        tail = piece[-64:]
+        for match in _RUN.finditer(piece):
+            if runs and runs[-1][1] == at + match.start():
+                runs[-1][1] = at + match.end()
+                continue
+            if runs and runs[-1][1] - runs[-1][0] < BASE64_RUN:
+                runs.pop()
+            runs.append([at + match.start(), at + match.end()])
+        at += len(piece)
+    for kind in sorted(escapes):
+        made = lambda kind=kind: _unescape_pieces(stream.within(begin, stop), kind)
+        yield Stream(made, stream.start, stream.end)
+    for a, b in runs:
+        if b - a >= BASE64_RUN:
+            for skip in range(4):
+                made = lambda a=a, b=b, skip=skip: _base64_pieces(stream.within(a, b), skip)
+                yield Stream(made, stream.start, stream.end)
+
+
+def decode_base64(run: str) -> bytes | None:
+    """The bytes in a base64 run (either alphabet, padded or not)."""
     body = run.replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
     try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
+        return base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
         return None
-    while (inflated := _inflate(raw)) is not None:
-        raw = inflated
+
+
+def _is_text(raw: bytes) -> bool:
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
-        return None
+        return False
     odd = sum(c < " " and c not in "\t\r\n" for c in text)
-    return text if text and odd * 10 <= len(text) else None
+    return bool(text) and odd * 10 <= len(text)
+
+
+def _byte_layer(pieces: Callable[[], Iterator[bytes]], first: int, last: int) -> Layer | Stream:
+    """Bytes as a layer. All patterns are ASCII, so each byte can stand for a character."""
+    raw = _held(pieces)
+    if raw is None:
+        return Stream(pieces, first, last)
+    return Layer(raw.decode("latin-1"), [0], [first], [last], [False], True)
+
+
+def _inner(layer: Layer | Stream) -> Layer | Stream | None:
+    """What the bytes of a layer inflate to."""
+    if isinstance(layer, Stream):
+        pieces, first, last = layer.pieces, layer.start, layer.end
+        head = b""
+        for piece in pieces():
+            head += piece
+            if len(head) > 2:
+                break
+    else:
+        raw = layer.text.encode("latin-1")
+        pieces, first, last, head = lambda: iter([raw]), layer.start[0], layer.end[-1], raw
+    return _byte_layer(lambda: inflated(iter(pieces())), first, last) if _bits(head) else None
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
     for match in _BASE64.finditer(layer.text):
         runs = [(match.start(), match.end(), decode_base64(match.group()))]
-        if runs[0][2] is None:  # perhaps base64 only between slashes, dashes or underscores
+        raw = runs[0][2]
+        if raw is None or not (_bits(raw) or _is_text(raw)):  # perhaps base64 only between slashes, dashes or underscores
             runs = [
                 (match.start() + m.start(), match.start() + m.end(), decode_base64(m.group()))
                 for m in _PARTS.finditer(match.group())
                 if m.end() - m.start() < match.end() - match.start()
             ]
-        for a, b, text in runs:
-            if text is not None:
-                first, last = layer.origin(a, b)
-                yield Layer(text, [0], [first], [last], [False])
+        for a, b, raw in runs:
+            if raw is not None and (_bits(raw) or _is_text(raw)):
+                yield Layer(raw.decode("latin-1"), [0], [layer.origin(a, b)[0]], [layer.origin(a, b)[1]], [False], True)
 
 
-def find_secrets(text: str, layers: bool = True) -> tuple[list, list]:
-    """Base spans and added spans of one text: sorted lists of (start, kind's place, end)."""
-    base = {(kind, a, b) for kind, a, b in scan(text)}
+def _follow(worklist: list[Layer | Stream], seen: set[tuple[bytes, int, int]]) -> set[tuple[str, int, int]]:
+    """Kind, start and end of all that is found in layers and in the layers within them."""
     added: set[tuple[str, int, int]] = set()
-    worklist = [plain_layer(text)] if layers else []
-    seen: set[tuple[str, int, int]] = set()
     while worklist:
         layer = worklist.pop()
-        mark = (layer.text, layer.start[0], layer.end[-1])
+        if isinstance(layer, Stream):
+            mark = (layer.digest(), layer.start, layer.end)
+            if mark not in seen:
+                seen.add(mark)
+                added |= _follow_stream(layer, seen)
+                worklist.extend(filter(None, [_inner(layer)]))
+            continue
+        digest = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        mark = (digest, layer.start[0], layer.end[-1])
         if mark in seen:
             continue
         seen.add(mark)
@@ -245,6 +475,28 @@ def find_secrets(text: str, layers: bool = True) -> tuple[list, list]:
             if inner is not None and inner.text != layer.text:
                 worklist.append(inner)
         worklist.extend(_base64_layers(layer))
+        if layer.is_bytes:
+            worklist.extend(filter(None, [_inner(layer)]))
+    return added
+
+
+def _follow_stream(stream: Stream, seen: set[tuple[bytes, int, int]]) -> set[tuple[str, int, int]]:
+    added: set[tuple[str, int, int]] = set()
+    for begin, stop, data in _windows(stream):
+        if data is None:
+            kinds = _scan_pieces(stream.within(begin, stop))
+            added |= {(kind, stream.start, stream.end) for kind in kinds}
+            inner: list[Layer | Stream] = list(_long_part(stream, begin, stop))
+        else:
+            inner = [Layer(data.decode("latin-1"), [0], [stream.start], [stream.end], [False])]
+        added |= _follow(inner, set(seen))  # what is seen in a window is not kept
+    return added
+
+
+def find_secrets(text: str, layers: bool = True) -> tuple[list, list]:
+    """Base spans and added spans of one text: sorted lists of (start, kind's place, end)."""
+    base = {(kind, a, b) for kind, a, b in scan(text)}
+    added = _follow([plain_layer(text)], set()) if layers else set()
     order = lambda spans: sorted((a, KINDS.index(kind), b) for kind, a, b in spans)
     return order(base), order(added - base)
 
