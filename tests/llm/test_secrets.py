@@ -2,7 +2,9 @@
 
 import base64
 import gzip
+import io
 import re
+import tarfile
 import urllib.parse
 import zlib
 from collections import Counter
@@ -110,6 +112,44 @@ def test_compressed_layers_are_scanned_to_their_end(monkeypatch, payload):
     assert find_secrets(text) == (plain(text), [(9, 0, 9 + len(inner))])
 
 
+def tar(data):
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as archive:
+        info = tarfile.TarInfo(".env")
+        info.size = len(data)
+        archive.addfile(info, io.BytesIO(data))
+    return out.getvalue()
+
+
+WIDE = f"Größe łódź {SECRET} 中"
+
+
+@pytest.mark.parametrize(
+    "payload",
+    [
+        tar(SECRET.encode() + b"\n"),
+        f"Größe {SECRET}".encode("latin-1"),
+        WIDE.encode("utf-16-le"),
+        WIDE.encode("utf-16-be"),
+        WIDE.encode("utf-16"),
+        gzip.compress(("filler word " * 300 + WIDE).encode("utf-16-le")),
+        gzip.compress(("w" * 3001 + SECRET).encode("utf-16-be")),
+        b64(SECRET).encode("utf-16-le"),
+        bytes(range(256)) + SECRET.encode() + bytes(40),
+    ],
+    ids=lambda payload: f"{len(payload)} bytes",
+)
+@pytest.mark.parametrize("limit", [1000, 64 << 20])
+def test_layers_that_are_no_plain_utf8_are_scanned(monkeypatch, payload, limit):
+    monkeypatch.setattr(secrets, "INFLATE_BYTES", limit)
+    inner = base64.urlsafe_b64encode(payload).decode()
+    assert find_secrets(f"é before {inner} after")[1] == [(9, 0, 9 + len(inner))]
+
+
+def test_zero_bytes_do_not_join_what_they_part():
+    assert find_secrets(b64(b"token=abc\0\0def" + bytes(9) + b"token=abc\0def"))[1] == []
+
+
 def test_a_layer_of_more_than_the_limit():
     inner = b64(gzip.compress("wörter und, ".encode() * (5 << 20) + SECRET.encode(), 1))
     assert find_secrets(f"é before {inner} after")[1] == [(9, 0, 9 + len(inner))]

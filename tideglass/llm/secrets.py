@@ -1,8 +1,10 @@
 """Secrets in texts and in what is encoded in them, by a recursive decoding worklist.
 
 Every text is scanned as it stands. Then layers are unwrapped until nothing new comes up: runs of
-percent escapes, Unicode escapes and character references are decoded in place, and base64 runs give
-a layer of their own, inflated first if they hold gzip or zlib data. Each layer is scanned again and
+percent escapes, Unicode escapes, character references and UTF-16 (characters that alternate with zero
+bytes) are decoded in place, and base64 runs give a layer of their own, inflated as well if they hold
+gzip or zlib data. Whatever bytes a layer holds, it is scanned: all patterns are ASCII, so each byte
+stands for a character. Each layer is scanned again and
 its finds are mapped back to the characters of the original text they were decoded from. A layer met
 before at the same place is not followed again, so cycles end.
 
@@ -62,6 +64,7 @@ _ESCAPES = {
         r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+"
     ),
     "reference": re.compile(r"(?:&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)+"),
+    "wide": re.compile(r"(?:[^\x00]\x00){4,}|(?:\x00[^\x00]){4,}"),
 }
 _UNIT = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)")
 _REFERENCE = re.compile(r"&#(?:([0-9]+)|[xX]([0-9A-Fa-f]+));")
@@ -72,7 +75,7 @@ _PARTS = re.compile(r"[A-Za-z0-9]{%d,}={0,2}" % BASE64_RUN)
 
 _HEX_BYTES = ~byte_class([(0x30, 0x39), (0x61, 0x66)])
 _RUN_BYTES = ~byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)] + [(ord(c), ord(c)) for c in "+/_-"])
-_ESCAPE_BYTES = ~byte_class([(ord(c), ord(c)) for c in "%\\&"])
+_ESCAPE_BYTES = ~byte_class([(ord(c), ord(c)) for c in "%\\&\0"])
 
 
 @dataclass(frozen=True)
@@ -139,7 +142,11 @@ def _percent(run: str) -> str:
     return binascii.unhexlify(run.replace("%", "")).decode("utf-8", "replace")
 
 
-_DECODE = {"url": _percent, "unicode": _unicode, "reference": _references}
+def _wide(run: str) -> str:
+    return run.replace("\0", "")
+
+
+_DECODE = {"url": _percent, "unicode": _unicode, "reference": _references, "wide": _wide}
 
 
 def unescape(layer: Layer, kind: str) -> Layer | None:
@@ -334,15 +341,27 @@ def _scan_pieces(pieces: Iterator[bytes]) -> set[str]:
     return kinds
 
 
+_ALTERNATING = re.compile(r"\x00?(?:[^\x00]\x00)*[^\x00]?\Z")
+
+
 def _unescape_pieces(pieces: Iterator[bytes], kind: str) -> Iterator[bytes]:
+    """A text that comes in pieces with all runs of one kind of escape decoded in place."""
+
+    def decoded(text: str) -> bytes:
+        return _ESCAPES[kind].sub(lambda m: _DECODE[kind](m.group()), text).encode("latin-1", "replace")
+
     tail = ""
     for piece in pieces:
         text = tail + piece.decode("latin-1")
-        lead = max(text.rfind(c, max(0, len(text) - 12)) for c in "%\\&")
-        cut = lead if lead >= 0 else len(text)
-        yield _ESCAPES[kind].sub(lambda m: _DECODE[kind](m.group()), text[:cut]).encode("utf-8", "replace")
+        if kind == "wide":  # both sides of a cut keep enough of a run
+            open_run = len(_ALTERNATING.search(text[-64:]).group())
+            cut = len(text) - (open_run if open_run < 64 else 32)
+        else:
+            lead = max(text.rfind(c, max(0, len(text) - 12)) for c in "%\\&")
+            cut = lead if lead >= 0 else len(text)
+        yield decoded(text[:cut])
         tail = text[cut:]
-    yield _ESCAPES[kind].sub(lambda m: _DECODE[kind](m.group()), tail).encode("utf-8", "replace")
+    yield decoded(tail)
 
 
 _ALPHABET = bytes.maketrans(b"-_", b"+/")
@@ -437,17 +456,19 @@ def _inner(layer: Layer | Stream) -> Layer | Stream | None:
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
     for match in _BASE64.finditer(layer.text):
-        runs = [(match.start(), match.end(), decode_base64(match.group()))]
-        raw = runs[0][2]
-        if raw is None or not (_bits(raw) or _is_text(raw)):  # perhaps base64 only between slashes, dashes or underscores
-            runs = [
+        raw = decode_base64(match.group())
+        runs = [(match.start(), match.end(), raw)]
+        if raw is None or not (_bits(raw) or _is_text(raw)):
+            # Perhaps base64 only between slashes, dashes or underscores.
+            runs += [
                 (match.start() + m.start(), match.start() + m.end(), decode_base64(m.group()))
                 for m in _PARTS.finditer(match.group())
                 if m.end() - m.start() < match.end() - match.start()
             ]
         for a, b, raw in runs:
-            if raw is not None and (_bits(raw) or _is_text(raw)):
-                yield Layer(raw.decode("latin-1"), [0], [layer.origin(a, b)[0]], [layer.origin(a, b)[1]], [False], True)
+            if raw:
+                first, last = layer.origin(a, b)
+                yield Layer(raw.decode("latin-1"), [0], [first], [last], [False], True)
 
 
 def _follow(worklist: list[Layer | Stream], seen: set[tuple[bytes, int, int]]) -> set[tuple[str, int, int]]:
