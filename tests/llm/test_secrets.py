@@ -135,7 +135,7 @@ WIDE = f"Größe łódź {SECRET} 中"
         gzip.compress(("filler word " * 300 + WIDE).encode("utf-16-le")),
         gzip.compress(("w" * 3001 + SECRET).encode("utf-16-be")),
         b64(SECRET).encode("utf-16-le"),
-        bytes(range(256)) + SECRET.encode() + bytes(40),
+        bytes(40) + SECRET.encode() + bytes(40),
     ],
     ids=lambda payload: f"{len(payload)} bytes",
 )
@@ -146,6 +146,50 @@ def test_layers_that_are_no_plain_utf8_are_scanned(monkeypatch, payload, limit):
     assert find_secrets(f"é before {inner} after")[1] == [(9, 0, 9 + len(inner))]
 
 
+@pytest.mark.parametrize("payload", [bytes(range(256)) + SECRET.encode() + bytes(range(256))])
+def test_a_find_among_binary_data_is_covered(payload):
+    inner = b64(payload)
+    [(start, kind, end)] = find_secrets(inner)[1]
+    assert kind == 0 and start <= 256 // 3 * 4 and end == len(inner)
+
+
+NOISE = " ".join(str(i * i) for i in range(80)).encode() + b" "
+
+
+@pytest.mark.parametrize("limit", [100, 64 << 20])
+@pytest.mark.parametrize("before", ["https://e.org/dl/", "https://e.org/d/", "id-", "id_", "a/b/", "a-bc/def_", "ab/"])
+@pytest.mark.parametrize(
+    "payload",
+    [gzip.compress(NOISE + SECRET.encode()), zlib.compress(NOISE + SECRET.encode()), zlib.compress(SECRET.encode(), 1),
+     gzip.compress(b"hello") + gzip.compress(SECRET.encode()), f"ÿþ??>> {SECRET} ~~~???".encode()],
+    ids=["gzip", "zlib", "fast", "members", "text"],
+)
+def test_payloads_joined_to_their_own_alphabet(monkeypatch, before, payload, limit):
+    monkeypatch.setattr(secrets, "INFLATE_BYTES", limit)
+    for inner in (b64(payload), base64.urlsafe_b64encode(payload).decode()):
+        [(start, kind, end)] = find_secrets(f"{before}{inner} after")[1]
+        assert kind == 0 and end == len(before) + len(inner.rstrip("=")) + inner.count("=")
+        assert start == len(before) or payload[:1] > b"\x80" and start < len(before)
+
+
+@pytest.mark.parametrize("before", ["dl/", "abc/d_", "xy"])
+@pytest.mark.parametrize("size", [10, 9000])
+def test_payloads_joined_within_a_layer_too_long_to_be_held(monkeypatch, before, size):
+    monkeypatch.setattr(secrets, "INFLATE_BYTES", 1000)
+    monkeypatch.setattr(secrets, "_PIECE", 300)
+    noise = b" ".join(b"%d" % (i * i * 7919 % 10007) for i in range(size))
+    inner = b64(gzip.compress(f"{before}{b64(gzip.compress(noise + SECRET.encode()))}".encode()))
+    assert find_secrets(inner)[1] == [(0, 0, len(inner))]
+
+
+def test_a_head_after_letters_and_a_run_of_a_length_of_one_modulo_four():
+    inner = b64(gzip.compress(SECRET.encode()))
+    assert find_secrets(f"xyz{inner}")[1] == [(3, 0, 3 + len(inner))]
+    inner = b64(SECRET + "!").rstrip("=")
+    assert len(inner) % 4 == 0 and [k for _, k, _ in find_secrets(inner + "A")[1]] == [0]
+    assert [k for _, k, _ in find_secrets("A" + inner)[1]] == [0]
+
+
 def test_zero_bytes_do_not_join_what_they_part():
     assert find_secrets(b64(b"token=abc\0\0def" + bytes(9) + b"token=abc\0def"))[1] == []
 

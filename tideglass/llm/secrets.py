@@ -20,7 +20,6 @@ Null and empty texts have no spans. Ids are not looked at; repeated rows are sca
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
@@ -28,6 +27,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,8 @@ _NAMES = ("passw", "secret", "token", "api")
 #: Bytes of an inflated layer that a worker holds at once, about, and of a step of inflating.
 INFLATE_BYTES = 64 << 20
 _PIECE = 1 << 18
+#: Characters of base64 looked at to tell whether compressed data begin in a run too long to be held.
+_PROBE = 4096
 
 #: The fewest characters of a base64 run: twelve bytes hold the shortest assignment.
 BASE64_RUN = 16
@@ -71,7 +73,15 @@ _REFERENCE = re.compile(r"&#(?:([0-9]+)|[xX]([0-9A-Fa-f]+));")
 _BASE64 = re.compile(
     r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]+={0,2}|[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_RUN
 )
-_PARTS = re.compile(r"[A-Za-z0-9]{%d,}={0,2}" % BASE64_RUN)
+#: Where a payload may begin within a run: after a separator, and at heads of gzip and zlib data.
+_STARTS = re.compile(rb"[/_-]|H4sI|e[AFJN]")
+#: What a layer must hold for anything to be found in it.
+_HOLDS = re.compile(
+    rb"passw|secret|token|api|AKIA|[0-9a-f]{%d}|%%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{%d}"
+    rb"|(?:[^\x00]\x00){4}|(?:\x00[^\x00]){4}" % (LEAST["hex"], BASE64_RUN),
+    re.IGNORECASE,
+)
+_ODD = re.compile(rb"[\x01-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 _HEX_BYTES = ~byte_class([(0x30, 0x39), (0x61, 0x66)])
 _RUN_BYTES = ~byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)] + [(ord(c), ord(c)) for c in "+/_-"])
@@ -224,6 +234,55 @@ def inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
         data = member.unused_data.lstrip(b"\0")
 
 
+def _chunks(raw: bytes, begin: int) -> Iterator[bytes]:
+    for at in range(begin, len(raw), _PIECE):
+        yield raw[at : at + _PIECE]
+
+
+def _members_size(raw: bytes, begin: int) -> int:
+    """How many bytes the members from a place on take that end."""
+    size = at = begin
+    while bits := _bits(raw[at : at + 3]):
+        member = zlib.decompressobj(bits)
+        try:
+            for data in _chunks(raw, at):
+                at += len(data)
+                while not member.eof and (data or out):
+                    out = member.decompress(data, _PIECE)
+                    data = member.unconsumed_tail
+                if member.eof:
+                    break
+        except zlib.error:
+            break
+        if not member.eof:
+            break
+        size = at = at - len(member.unused_data)
+        while raw[at : at + 1] == b"\0":
+            at += 1
+    return size - begin
+
+
+def _is_utf8(raw: bytes) -> bool:
+    try:
+        raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return not _ODD.search(raw)
+
+
+def _is_garbage(raw: bytes) -> bool:
+    return bool(_ODD.search(raw)) or raw.decode("utf-8", "replace").count("\ufffd") * 10 > 3 * len(raw)
+
+
+def _inflates(probe: bytes) -> bool:
+    """Whether these first bytes of compressed data are sound, or give anything to scan."""
+    try:
+        zlib.decompressobj(_bits(probe)).decompress(probe, _PIECE)
+        return True
+    except zlib.error:
+        return _HOLDS.search(b"".join(inflated(iter([probe])))) is not None
+
+
 def _until_break(member, data: bytes) -> Iterator[bytes]:
     for i in range(len(data)):
         try:
@@ -409,26 +468,24 @@ def _long_part(stream: Stream, begin: int, stop: int) -> Iterator[Stream]:
             for skip in range(4):
                 made = lambda a=a, b=b, skip=skip: _base64_pieces(stream.within(a, b), skip)
                 yield Stream(made, stream.start, stream.end)
-
-
-def decode_base64(run: str) -> bytes | None:
-    """The bytes in a base64 run (either alphabet, padded or not)."""
-    body = run.replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
-
-
-def _is_text(raw: bytes) -> bool:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return False
-    odd = sum(c < " " and c not in "\t\r\n" for c in text)
-    return bool(text) and odd * 10 <= len(text)
+            yield from _heads(stream, a, b)
+
+
+def _heads(stream: Stream, begin: int, stop: int) -> Iterator[Stream]:
+    """What compressed data inflate to that begin within a long base64 run."""
+    at, data = begin, b""
+    for piece in chain(stream.within(begin, stop), [None]):
+        last = piece is None
+        data += piece or b""
+        ready = len(data) if last else max(0, len(data) - _PROBE)
+        for m in _STARTS.finditer(data, 0, ready):
+            place = m.end() if len(m.group()) == 1 else m.start()
+            probe = b"".join(_base64_pieces(iter([data[place : place + _PROBE]]), 0))
+            if _bits(probe) and _inflates(probe):
+                made = lambda a=at + place: inflated(_base64_pieces(stream.within(a, stop), 0))
+                yield Stream(made, stream.start, stream.end)
+        kept = max(0, ready - 3)  # of a head that is cut
+        at, data = at + kept, data[kept:]
 
 
 def _byte_layer(pieces: Callable[[], Iterator[bytes]], first: int, last: int) -> Layer | Stream:
@@ -454,21 +511,56 @@ def _inner(layer: Layer | Stream) -> Layer | Stream | None:
     return _byte_layer(lambda: inflated(iter(pieces())), first, last) if _bits(head) else None
 
 
-def _base64_layers(layer: Layer) -> Iterator[Layer]:
+def _base64_layers(layer: Layer) -> Iterator[Layer | Stream]:
+    """The layers in base64 runs, of either alphabet, padded or not. A run may be joined to a payload
+    by characters of its own alphabet. Where a payload begins only matters modulo 4 for its bytes, so
+    all four beginnings of a run are decoded, and finds are mapped to the likely payload."""
     for match in _BASE64.finditer(layer.text):
-        raw = decode_base64(match.group())
-        runs = [(match.start(), match.end(), raw)]
-        if raw is None or not (_bits(raw) or _is_text(raw)):
-            # Perhaps base64 only between slashes, dashes or underscores.
-            runs += [
-                (match.start() + m.start(), match.start() + m.end(), decode_base64(m.group()))
-                for m in _PARTS.finditer(match.group())
-                if m.end() - m.start() < match.end() - match.start()
-            ]
-        for a, b, raw in runs:
-            if raw:
-                first, last = layer.origin(a, b)
-                yield Layer(raw.decode("latin-1"), [0], [first], [last], [False], True)
+        whole = match.group().encode("ascii")
+        places = None
+        if b"\n" in whole:
+            places = [m.start() for m in re.finditer(rb"[^\r\n]", whole)]
+            whole = re.sub(rb"[\r\n]+", b"", whole)
+        run = whole.rstrip(b"=")
+        begins: list[list[int]] = [[], [], [], []]
+        for m in _STARTS.finditer(run):
+            at = m.end() if len(m.group()) == 1 else m.start()
+            begins[at % 4].append(at)
+        standard = run.translate(_ALPHABET)
+
+        def origin(at: int) -> int:
+            return layer.origin(match.start() + (places[at] if places else at), match.end())[0]
+
+        last = layer.origin(match.start(), match.end())[1]
+        for skip in range(4):
+            body = standard[skip:]
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            raw = binascii.a2b_base64(body + b"=" * (-len(body) % 4))
+            if not raw:
+                continue
+            new, start = [0], [origin(skip)]
+            plain = _is_utf8(raw)
+            before = done = 0
+            open_head = None
+            for at in [skip, *(at for at in begins[skip] if at > skip)]:
+                byte = (at - skip) // 4 * 3
+                if _bits(raw[byte : byte + 3]):
+                    if open_head is not None:
+                        done, open_head = open_head + _members_size(raw, open_head), None
+                    if byte >= done:
+                        made = lambda byte=byte, raw=raw: inflated(_chunks(raw, byte))
+                        inner = _byte_layer(made, origin(at), last)
+                        if isinstance(inner, Stream) or inner.text:
+                            yield inner
+                            open_head = byte
+                if not plain and byte > before and _is_garbage(raw[before:byte]):
+                    new.append(byte)  # the payload may begin here
+                    start.append(origin(at))
+                before = byte
+            if _HOLDS.search(raw):
+                size = len(new)
+                yield Layer(raw.decode("latin-1"), new, start, [last] * size, [False] * size)
 
 
 def _follow(worklist: list[Layer | Stream], seen: set[tuple[bytes, int, int]]) -> set[tuple[str, int, int]]:
