@@ -13,9 +13,11 @@ from tideglass.llm import (
     bloom_lm,
     decontamination,
     hamming_index,
+    hard_negatives,
     line_quality,
     near_duplicates,
     packing,
+    periodic_runs,
     secrets,
     token_counts,
     toxicity,
@@ -211,6 +213,146 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_index.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+SQL["op12_bond_hard_negatives"] = """
+WITH valid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+        CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (
+        PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_bond_hard_negatives")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+#: crc32 of a decimal number, in SQL that has no such function: bit by bit, -1 standing for a step.
+_CRC32 = """xor(4294967295, list_reduce(
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+        ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END, CAST(4294967295 AS BIGINT)))"""
+#: Hashes of windows of 1, 2, 4, ... words, each from two of the one before, and where a block of so
+#: many words returns after that distance at least: candidates for periods.
+_WINDOW_SIZES = [1 << k for k in range(18)]
+_WINDOWS = ",\n".join(
+    ["h1 AS (SELECT rid, i, n, hash(word) AS h FROM words)"]
+    + [
+        f"""h{size} AS (SELECT * FROM (SELECT rid, i, n, hash(h, lead(h, {size // 2}) OVER o) AS h,
+        lead(i, {size // 2}) OVER o IS NOT NULL AS whole FROM h{size // 2} WHERE n >= {3 * min(size, 8)}
+        WINDOW o AS (PARTITION BY rid ORDER BY i)) WHERE whole)"""
+        for size in _WINDOW_SIZES[1:]
+    ]
+)
+_RETURNS = "\nUNION\n".join(
+    f"""SELECT a.rid, b.i - a.i AS q FROM h{size} a JOIN h{size} b USING (rid, h)
+    WHERE a.i % {size} = 0 AND b.i - a.i BETWEEN {1 if size == 8 else size} AND {2 * size - 1}"""
+    for size in _WINDOW_SIZES
+    if size >= 8
+)
+
+SQL["op13_dyadic_square_runs"] = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, {_CRC32} AS crc,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+drawn AS (
+    SELECT rid, doc_id, w, len(w) AS n, crc % 10 = 0 AND len(w) > 0 AS made,
+        (crc // 10) % greatest(len(w), 1) AS a, crc // 10 AS g FROM d),
+placed AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM drawn),
+texts AS (
+    SELECT rid, doc_id, n, CASE WHEN made THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]
+        FOR i IN range(n)] ELSE w END AS w FROM placed),
+words AS (SELECT rid, n, unnest(range(n)) AS i, unnest(w) AS word FROM texts),
+{_WINDOWS},
+returns AS ({_RETURNS}),
+alike AS (
+    SELECT rid, q, unnest(list_filter(range(n - q), lambda i: w[i + 1] = w[i + q + 1])) AS i
+    FROM returns JOIN texts USING (rid)),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS g FROM alike),
+stretches AS (
+    SELECT rid, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY rid, q, g
+    HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (
+    SELECT rid, start, length, min(q) AS period FROM stretches GROUP BY rid, start, length),
+lists AS (
+    SELECT rid, count(*) AS n_runs,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+    FROM runs GROUP BY rid),
+best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (
+        PARTITION BY rid ORDER BY length / period DESC, start, period) = 1),
+dropped AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT rid, string_agg(word, ' ' ORDER BY i) AS collapsed
+    FROM words ANTI JOIN dropped USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period,
+    CAST((1000 * length) // period AS BIGINT) AS exponent_milli,
+    sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN lists USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
+def _with_made_repeats(documents: DataFrame) -> DataFrame:
+    """``documents`` where a tenth of the texts goes on in a period from some word on."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(crc % 10 == 0, F.lit(False))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    n = F.size("w").cast("long")
+    drawn = documents.select("doc_id", "text", F.floor(crc / 10).alias("g"), F.when(chosen, words).alias("w"))
+    drawn = drawn.withColumn("a", F.when(n > 0, F.col("g") % n))
+    drawn = drawn.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    a, p = F.col("a").cast("int"), F.col("p").cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("w", a + 1, p), times))
+    repeated = F.slice(F.concat(F.slice("w", F.lit(1), a), again), F.lit(1), F.size("w"))
+    made = F.when(F.size("w") > 0, F.array_join(repeated, " "))
+    return drawn.select("doc_id", F.coalesce(made, "text").alias("text"))
+
+
+@query("op13_dyadic_square_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _with_made_repeats(read_table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(documents).select("doc_id", "periodic.*")
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    nothing = F.lit(None).cast("struct<start:bigint, length:bigint, period:bigint>")
+    # Runs are in order, so of equal exponents the first stays.
+    best = F.reduce(
+        "runs",
+        nothing,
+        lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b),
+    )
+    listed = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return listed.select(
+        "doc_id", "n_runs", "best.*", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
 _HOST = f"""translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 _PATH = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
