@@ -18,6 +18,12 @@ COLUMNS = {
     "op9_": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
     "contaminated boolean",
     "op10_": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op11_": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
+    "base_sha256 string, spans string",
+    "op12_": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, "
+    "negative_score bigint",
+    "op13_": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, "
+    "exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 

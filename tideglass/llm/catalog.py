@@ -18,6 +18,7 @@ from tideglass.llm import (
     near_duplicates,
     packing,
     periodic_runs,
+    pii,
     secrets,
     token_counts,
     toxicity,
@@ -243,6 +244,27 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+@query("op11_weak_supervision_pii")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pii_spans(documents)
+    base = F.filter("pii", lambda s: s["base"])
+
+    def number(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined("pii").alias("spans"),
+    )
+
+
 #: crc32 of a decimal number, in SQL that has no such function: bit by bit, -1 standing for a step.
 _CRC32 = """xor(4294967295, list_reduce(
     flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
