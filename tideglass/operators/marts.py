@@ -121,7 +121,14 @@ def disease_impact_vs_research(
     Keys must be equal as they are, or after trim and lower case with ``normalize``. Both inputs
     are aggregates with a row per category; adaptive execution broadcasts the measured smaller one.
     """
-    impact = category_impact(health).withColumn("_key", _key("Disease_Category", normalize))
+    return impact_with_counts(category_impact(health), counts, normalize)
+
+
+def impact_with_counts(
+    impact: DataFrame, counts: DataFrame, normalize: bool = False
+) -> DataFrame:
+    """J1 from a category impact that is there already."""
+    impact = impact.withColumn("_key", _key("Disease_Category", normalize))
     per_key = counts.groupBy(_key("Disease_Category", normalize).alias("_key")).agg(
         F.sum("Abstract_Count").alias("Abstract_Count")
     )
