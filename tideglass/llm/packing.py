@@ -2,7 +2,7 @@
 
 Bins are filled greedily with the longest piece that fits. If a gap is left that no piece fits, the
 bin's smallest piece is taken out again and replaced by the two unpacked pieces that fill the widened
-gap best, if they leave less of it.
+gap best, if they leave less of it; of pairs that fill it alike the one whose smaller piece is larger.
 
 Which pieces go together depends only on their lengths, so the plan is made from the number of pieces
 of each length: at most ``capacity`` numbers, whatever the size of the corpus. Equal bins are planned
@@ -142,17 +142,21 @@ def _fill(left: np.ndarray, capacity: int) -> list[int]:
 
 
 def _best_two(left: np.ndarray, room: int) -> tuple[int, int] | None:
-    """The two unpacked lengths with the largest sum within ``room``."""
+    """The two unpacked lengths with the largest sum within ``room``, of equal sums those with the
+    larger smaller one."""
     lengths = np.flatnonzero(left[: room + 1])
     if len(lengths) == 0:
         return None
     partner = np.searchsorted(lengths, room - lengths, side="right") - 1
-    best, pair = -1, None
+    best, pair = (-1, -1), None
     for i, j in enumerate(partner):
         if j == i and left[lengths[i]] < 2:
             j -= 1
-        if 0 <= j and lengths[i] + lengths[j] > best:
-            best, pair = lengths[i] + lengths[j], (int(lengths[i]), int(lengths[j]))
+        if j < 0:
+            continue
+        small, large = sorted((int(lengths[i]), int(lengths[j])))
+        if (small + large, small) > best:
+            best, pair = (small + large, small), (small, large)
     return pair
 
 
