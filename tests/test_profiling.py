@@ -80,6 +80,23 @@ def test_distinct_profile_counts_null_and_lists_short_columns(spark):
     }
 
 
+@pytest.mark.parametrize("spread", [1, 7, 10**9])
+def test_distinct_whole_numbers(spark, spread):
+    items = [None, *[i * spread - 50_000 for i in range(70_000)]] * 2
+    frame = spark.createDataFrame([(v,) for v in items], "v bigint").repartition(4)
+    dense, nulls = profiling._dense_columns(frame, ["v"])
+    assert (dense, nulls) == (["v"] if spread < 100 else [], {"v": 1})
+    row = profiling.distinct_profile(frame).first()
+    assert (row["num_unique"], row["values"]) == (70_001, None)
+
+
+def test_distinct_whole_numbers_at_the_ends(spark):
+    ends = [-(2**63), 2**63 - 1, 0, -1, 1, 32_768, 32_769, -32_768, -32_769]
+    frame = spark.createDataFrame([(v, v % 100 - 50) for v in ends], "v bigint, small int")
+    found = {r["column"]: r["num_unique"] for r in profiling.distinct_profile(frame).collect()}
+    assert found == {"v": 9, "small": len({v % 100 for v in ends})}
+
+
 def test_distinct_profile_of_an_empty_frame(spark):
     frame = spark.createDataFrame([], "a int, b string")
     assert [tuple(r) for r in profiling.distinct_profile(frame).collect()] == [
@@ -130,3 +147,18 @@ def test_density_matches_direct_sum(spark):
     assert [r["x"] for r in rows] == pytest.approx(list(grid))
     assert [r["density"] for r in rows] == pytest.approx(list(expected), rel=1e-9, abs=1e-12)
     assert profiling.density(doubles(spark, [1.0, 1.0]), "x").isEmpty()
+
+
+def test_density_shuffles_cells_and_not_values(spark):
+    rng = random.Random(5)
+    items = [rng.gauss(0, 1) for _ in range(20_000)] + [1e4, -1e4]
+    frame = doubles(spark, items).repartition(4)
+    rows = profiling.density(frame, "x", points=64).orderBy("point").collect()
+    values = np.array(items)
+    h = values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min(), values.max(), 64)
+    kernel = np.exp(-0.5 * ((grid[:, None] - values[None, :]) / h) ** 2).sum(axis=1)
+    expected = kernel / (len(values) * h * math.sqrt(2 * math.pi))
+    assert [r["density"] for r in rows] == pytest.approx(list(expected), abs=1e-13)
+    plan = profiling.density(frame, "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [cell#" in plan and "Aggregate [v#" not in plan

@@ -384,6 +384,18 @@ def impact_vs_research_normalized(spark: SparkSession, sf_dir: str) -> DataFrame
     return rounded(marts.disease_impact_vs_research(health(spark, sf_dir), counts, normalize=True))
 
 
+@query(
+    "impact_vs_research_matches",
+    _impact_sql("impact.Disease_Category", "upper(counts.Disease_Category)"),
+)
+def impact_vs_research_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1, strict, with labels in the letter case of the categories."""
+    counts = research_counts(spark, sf_dir).withColumn(
+        "Disease_Category", F.upper("Disease_Category")
+    )
+    return rounded(marts.disease_impact_vs_research(health(spark, sf_dir), counts))
+
+
 # --- Lookups --------------------------------------------------------------------------------
 
 

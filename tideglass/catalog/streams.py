@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideglass.catalog.health import (
     ABSTRACT_SILVER_SQL,
@@ -217,11 +218,36 @@ def typed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_typed_csv(spark, path)
 
 
-@query("rows_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+#: A request, as a caller would send it.
+_ASKED = [("1-URGENT", 100_000), ("2-HIGH", "150000"), ("5-LOW", 200_000.0), ("unknown", 0)]
+_ASKED_SQL = ", ".join(f"('{name}', {int(float(least))})" for name, least in _ASKED)
+
+
+@query(
+    "rows_roundtrip",
+    f"""SELECT priority, CAST(least AS DOUBLE) AS least, count(o_orderkey) AS n_orders,
+      round(coalesce(sum(o_totalprice), 0), 2) AS total
+    FROM (VALUES {_ASKED_SQL}) AS asked(priority, least)
+    LEFT JOIN orders ON o_orderpriority = priority AND o_totalprice >= least GROUP BY priority, least""",
+)
 def rows_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request-sized rows in memory as a frame."""
-    nation = table(spark, sf_dir, "nation")
-    return rows_to_frame(spark, [row.asDict() for row in nation.collect()], nation.schema)
+    """Request-sized rows in memory as the small side of a join over the orders."""
+    schema = StructType().add("priority", "string").add("least", "double")
+    asked = rows_to_frame(spark, [dict(zip(schema.names, row)) for row in _ASKED], schema)
+    # Orders are summed by priority and request before they meet the rest of the request.
+    matched = (
+        table(spark, sf_dir, "orders")
+        .join(F.broadcast(asked), F.col("o_orderpriority") == F.col("priority"))
+        .where(F.col("o_totalprice") >= F.col("least"))
+        .groupBy("priority")
+        .agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("sum"))
+    )
+    return asked.join(matched, "priority", "left").select(
+        "priority",
+        "least",
+        F.coalesce("n", F.lit(0).cast("long")).alias("n_orders"),
+        F.round(F.coalesce("sum", F.lit(0.0)), 2).alias("total"),
+    )
 
 
 @query(

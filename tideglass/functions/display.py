@@ -21,6 +21,14 @@ def thousands(column: Column) -> Column:
     return F.format_number(column.cast("bigint"), 0)
 
 
+def title_case(column: Column) -> Column:
+    """Each run of letters with a capital first letter and small ones after it."""
+    parts = F.regexp_extract_all(column, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(
+        F.transform(parts, lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.lower(F.substr(p, F.lit(2))))), ""
+    )
+
+
 def flag_url(name: Column, prefix: str) -> Column:
     """URL of the image kept for a name (P17): path-style percent encoding, so ``/`` stays."""
     encoded = F.url_encode(name)

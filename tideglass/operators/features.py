@@ -167,15 +167,19 @@ def feature_importance(
     trees: int = 100,
     depth: int = 10,
     seed: int = 42,
+    sample_on: Sequence[str] = (),
 ) -> DataFrame:
     """The ``n`` most important features of a forest fitted to a ``pct`` percent sample.
 
     All text columns are one-hot encoded without their first value in order, all others are
-    numeric. The sample is a property of the report; ``pct=100`` fits all rows.
+    numeric. The sample is a property of the report; ``pct=100`` fits all rows. It is drawn by a hash of the
+    whole row, or of the columns ``sample_on``, which are no features.
     """
-    rows = df.drop(*exclude).na.drop()
+    kept = [name for name in df.columns if name not in exclude and name not in sample_on]
+    rows = df.na.drop(subset=kept)
     if pct < 100:
-        rows = sample_rows(rows, rows.columns, pct)
+        rows = sample_rows(rows, sample_on or kept, pct)
+    rows = rows.select(kept)
     categorical = [name for name, kind in rows.dtypes if kind == "string" and name != target]
     numeric = [name for name in rows.columns if name not in categorical and name != target]
     rows = materialize(df.sparkSession, rows, "importance-rows")

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideglass.operators.salted import salted_join
 from tideglass.schemas import REQUEST_SCHEMA
 
 # Form defaults and limits, and the feature -> (summary column, fallback) rules.
@@ -100,16 +101,16 @@ def enrich_scenarios(
     """Model requests with the country's averages filled in; whole numbers are cut off.
 
     Scenarios for a country without summary are left out here and come from ``reject_scenarios``.
-    Adaptive execution broadcasts a summary of few countries. If both sides shuffle by country, it
-    splits the partition of a country that many scenarios name, provided the summary is a stored
-    table: the output of an aggregation is partitioned by country already and is not split.
+    Adaptive execution broadcasts a summary of few countries. A country that many scenarios name is
+    spread over many tasks, also where the summary comes from an aggregation and is partitioned by
+    country already.
     """
     averages = summary.select("Country", *[column for column, _ in FILLED.values()])
     filled = {
         name: F.coalesce(F.col(column), F.lit(default))
         for name, (column, default) in FILLED.items()
     }
-    joined = scenarios.join(averages, "Country").withColumns(filled)
+    joined = salted_join(scenarios, averages, "Country").withColumns(filled)
     request = [F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA]
     return joined.select(*keep, *request)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -31,6 +32,7 @@ def train(
     target: str = TARGET,
     pct: int = 80,
     staged: bool = False,
+    split_on: Sequence[str] = (),
     **forest,
 ) -> Training | None:
     """Fit on ``pct`` percent of the complete rows, score and measure the others.
@@ -38,10 +40,17 @@ def train(
     The fit reads the rows several times. From a table that is a pruned scan each time, which
     survives lost executors. If ``silver`` is the result of joins, ``staged`` writes the rows once,
     with their side of the split, so that the joins run once. No complete rows means no model.
+
+    The split is by a hash of the whole row, or of the columns ``split_on``: rows that agree there stay on
+    one side, and the predictions keep those columns.
     """
     features = [*numeric, *categorical]
-    rows = model_rows(silver, features, target)
-    rows = rows.withColumn(FIT_SIDE, hash_bucket(rows.columns) < pct)
+    if split_on:
+        # Model rows must be complete in features and target; what they are split on may be null.
+        rows = silver.select(*split_on, *features, target).na.drop(subset=[*features, target])
+    else:
+        rows = model_rows(silver, features, target)
+    rows = rows.withColumn(FIT_SIDE, hash_bucket(split_on or rows.columns) < pct)
     if staged:
         rows = materialize(silver.sparkSession, rows, "model-rows")
     if rows.isEmpty():
