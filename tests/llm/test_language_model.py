@@ -78,6 +78,34 @@ def test_base_scores_and_model(spark, sf_dir):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_scores_equal_a_model_by_plain_counts(spark, sf_dir):
+    """The model with levels of true counts. A filter may only add a level to an n-gram, rarely."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    single, pair = Counter(), Counter()
+    for doc_id, text in rows:
+        if zlib.crc32(str(doc_id).encode()) % 7 != 2:
+            tokens = words(text)
+            single.update(tokens)
+            pair.update(zip([tokens[-1], *tokens], tokens))
+
+    def count(n):
+        return float(bloom_lm.level_count(bloom_lm.level(np.array([n])))[0]) if n else 0.0
+
+    total, distinct = sum(single.values()), len(single)
+    by_id = {r["doc_id"]: r["score"] for r in bloom_lm.score(documents, training()).collect()}
+    apart = []
+    for doc_id, text in rows:
+        tokens, value = words(text), 0.0
+        for before, word in zip([tokens[-1], *tokens], tokens):
+            context = count(single[before])
+            both = min(count(pair[before, word]), context)
+            alone = (count(single[word]) + 1) / (total + distinct + 1)
+            value += math.log10((both + bloom_lm.MU * alone) / (context + bloom_lm.MU))
+        apart.append(abs(by_id[doc_id] - value) / len(tokens))
+    assert sorted(apart)[len(apart) // 2] < 0.02 and max(apart) < 0.25
+
+
 @pytest.fixture()
 def small_ranges(monkeypatch):
     monkeypatch.setattr(bloom_lm, "RANGE_GRAMS", 256)
