@@ -6,9 +6,9 @@ telephone numbers without a plus. Six labelers vote yes, no or nothing on each c
 alike: two patterns (form, checksum), gazetteers (domains, issuers, country codes, networks), the words
 around, the variety of digits, and what touches the span. Expectation-maximisation over the counts of
 votes estimates, by kind, how often each labeler says what of real and of other candidates; base forms are
-known to be real, those that fail their check not to be. The probabilities that follow are the labels of a logistic regression, which also
-sees the shape of a candidate. Candidates that it finds likelier than not, and that no base span overlaps,
-are added.
+known to be real, those that fail their check not to be. The probabilities that follow are the labels of
+a logistic regression, which also sees the shape of a candidate. Candidates that it finds likelier than not, that their votes alone speak for,
+and that no base span overlaps, are added.
 
 Everything on the way is a DataFrame or SQL function. A text is read once; of it the spans alone are
 written. What EM and the fit work on is one row per kind, shape and combination of votes, a few thousand at
@@ -256,7 +256,8 @@ def _labeled(c: Column) -> Column:
             ~value.rlike("^[0-9]+$") | F.length(digits).isin(14, 15, 16, 19), F.length(digits).isin(13, 17, 18)
         ),
         "phone": _vote(
-            (plus & _is_base("phone", value)) | value.rlike(r"^\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}$"), plus
+            (plus & _is_base("phone", value)) | value.rlike(r"^\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}$"),
+            plus | ~value.rlike("^(?:[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|[0(][0-9]{1,4}.*)$"),
         ),
     }
     checksum = {
@@ -309,7 +310,9 @@ def _labeled(c: Column) -> Column:
     )
 
 
-def candidates(documents: DataFrame, text: str = "text", name: str = "found", keep_text: bool = False) -> DataFrame:
+def candidates(
+    documents: DataFrame, text: str = "text", name: str = "found", keep_text: bool = False
+) -> DataFrame:
     """``documents`` with a struct ``name``: ``base``, the base spans (``kind``, ``start``, ``end``) by kind
     and start, and ``others``, all candidates with their votes. The text itself goes unless it is kept."""
     names = [c for c in documents.columns if c != name and (keep_text or c != text)]
@@ -350,6 +353,12 @@ class SpanModel:
     reliability: dict[tuple[str, str], tuple[tuple[float, ...], tuple[float, ...]]]
     prior: dict[str, float]
 
+    def likely(self, candidate: Column) -> Column:
+        """Whether a candidate is likelier real than not, by the classifier and by its votes alone: what
+        few examples were like cannot outweigh labelers that say no."""
+        odds = _vote_odds(candidate["kind"], candidate["votes"], self.prior, self.reliability)
+        return (self.logit(candidate) >= 0) & (odds >= 0)
+
     def logit(self, candidate: Column) -> Column:
         total = F.lit(self.intercept)
         for feature, weight in zip(_features(candidate), self.weights):
@@ -378,8 +387,8 @@ FIRST_GUESS, GUESS_WEIGHT = ((0.5, 0.3, 0.2), (0.1, 0.3, 0.6)), 20.0
 
 def fit(found: DataFrame, name: str = "found", rounds: int = 25, tolerance: float = 1e-3) -> SpanModel | None:
     """Reliabilities by expectation-maximisation over the votes in ``found`` (of ``candidates``), where base
-    forms are known to be real, and those that fail their check not to be, and the classifier trained on the probabilities they give; None where there
-    is no candidate."""
+    forms are known to be real, and those that fail their check not to be, and the classifier trained on the
+    probabilities they give; None where there is no candidate."""
     spark = found.sparkSession
     c = found.select(F.explode(f"{name}.others").alias("c")).select("c.kind", "c.votes", "c.shape", "c.known")
     counts = c.groupBy("kind", "votes", "shape", "known").agg(F.count(F.lit(1)).alias("n"))
@@ -443,19 +452,22 @@ def _shares(sums: list[float], guess: tuple[float, ...]) -> tuple[float, ...]:
     return tuple((x + GUESS_WEIGHT * g) / total for x, g in zip(sums, guess))
 
 
-def _weighed(counts: DataFrame, prior, reliability) -> DataFrame:
-    """``counts`` with how many of each row's candidates are thought to be real (``w1``) and not
-    (``w0``), by the odds that prior and votes give."""
+def _vote_odds(kind: Column, votes: Column, prior, reliability) -> Column:
+    """Log odds that a candidate with these votes is real."""
     ratios = [
         math.log(b / a) for k in KINDS for labeler in LABELERS for a, b in zip(*reliability[k, labeler])
     ]
     first = [math.log(prior[k] / (1 - prior[k])) for k in KINDS]
-    kind = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    number = F.array_position(F.array(*map(F.lit, KINDS)), kind).cast("int") - 1
     table = F.array(*map(F.lit, ratios))
-    each = F.transform(
-        "votes", lambda v, j: F.get(table, kind * (3 * len(LABELERS)) + j * 3 + v + 1)
-    )
-    odds = F.aggregate(each, F.get(F.array(*map(F.lit, first)), kind), lambda a, x: a + x)
+    each = F.transform(votes, lambda v, j: F.get(table, number * (3 * len(LABELERS)) + j * 3 + v + 1))
+    return F.aggregate(each, F.get(F.array(*map(F.lit, first)), number), lambda a, x: a + x)
+
+
+def _weighed(counts: DataFrame, prior, reliability) -> DataFrame:
+    """``counts`` with how many of each row's candidates are thought to be real (``w1``) and not
+    (``w0``), by the odds that prior and votes give."""
+    odds = _vote_odds(F.col("kind"), F.col("votes"), prior, reliability)
     real = F.when(F.col("known") == 1, 1.0).when(F.col("known") == -1, 0.0)
     real = real.otherwise(1 / (1 + F.exp(-odds)))
     p = counts.withColumn("p", real)
@@ -472,7 +484,7 @@ def decide(found: DataFrame, model: SpanModel | None, name: str = "found", to: s
     base = F.transform(f"{name}.base", lambda s: span(s, True))
     spans = base
     if model is not None:
-        likely = F.filter(f"{name}.others", lambda c: (c["known"] == 0) & (model.logit(c) >= 0))
+        likely = F.filter(f"{name}.others", lambda c: (c["known"] == 0) & model.likely(c))
         free = F.filter(
             likely,
             lambda c: ~F.exists(
