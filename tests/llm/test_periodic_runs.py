@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tideglass.llm import catalog, periodic_runs
+from tideglass.llm import arrowtext, catalog, periodic_runs
 from tideglass.llm.arrowtext import mix
 
 
@@ -62,7 +62,7 @@ def test_pieces_change_nothing(monkeypatch, piece):
     texts = [" ".join(draw.choice("ab é") for _ in range(draw.randint(0, 90))) for _ in range(20)]
     texts += [None, "", " \t\n", "x\x0by " * 50, "été 中文 " * 20]
     want = periodic_runs.runs_of_texts(pa.array(texts)).to_pylist()
-    monkeypatch.setattr(periodic_runs, "PIECE_BYTES", piece)
+    monkeypatch.setattr(arrowtext, "PIECE_BYTES", piece)
     monkeypatch.setattr(periodic_runs, "WINDOW_STEP", piece)
     assert periodic_runs.runs_of_texts(pa.array(texts)).to_pylist() == want
     for text, found in zip(texts, want):

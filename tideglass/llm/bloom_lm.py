@@ -16,7 +16,9 @@ most ``HEAD_WORDS`` are, from a broadcast table; all others by a join on the wor
 keys left.
 
 Words are told apart by 64-bit hashes. A null or empty text is just its end token. Rows are scored
-one by one, also if ids repeat or are null. Without any training text, counts are 0.
+one by one, also if ids repeat or are null; other columns are not looked at, and an empty table gives
+no rows. Without any training text, counts are 0. Words of a very long text are hashed in pieces; some
+100 bytes per word are held while it is scored.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ from pyspark.sql import functions as F
 from tideglass.llm.arrowtext import SPACED, Words, gram_hash, mix, ragged, row_sums, steps
 from tideglass.llm.common import materialize
 
-#: Bits of the filter per entry, probes per entry, and the base of the logarithm.
-BITS, PROBES, BASE = 8, 5, 1.5
+#: Bits of the filter per entry (each sets five bits of one 64-bit word), and the base of the logarithm.
+BITS, BASE = 8, 1.5
 #: Strength of the prior, in tokens.
 MU = 500.0
 #: Words in the broadcast table of exact counts at most; filter bytes sent at once at most.
@@ -116,35 +118,46 @@ def level_count(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.maximum((np.ceil(low) + np.ceil(high) - 1) / 2, 1), 0)
 
 
-def _places(grams: np.ndarray, tag: int, bits: int):
+def _pairs_of_bits() -> np.ndarray:
+    """64-bit words with two bits set, for each number of twelve bits."""
+    x = np.arange(4096, dtype=np.uint64)
+    one = np.uint64(1)
+    return (one << (x & np.uint64(63))) | (one << (x >> np.uint64(6)))
+
+
+_TWO = _pairs_of_bits()
+
+
+def _place(grams: np.ndarray, tag: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word of the filter that a tagged n-gram lies in, and the bits that it sets there: one read
+    of memory for each, instead of one for each bit."""
     x = mix(grams + np.uint64((tag * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF))
-    step = mix(x) | np.uint64(1)
-    for k in range(PROBES):
-        yield ((x + np.uint64(k) * step) % np.uint64(bits)).astype(np.int64)
+    twelve = np.uint64(4095)
+    bits = _TWO[x & twelve] | _TWO[(x >> np.uint64(12)) & twelve]
+    bits |= np.uint64(1) << ((x >> np.uint64(24)) & np.uint64(63))
+    # The upper half scaled to the number of words: no division.
+    return ((x >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32), bits
 
 
 def build_segment(grams: np.ndarray, counts: np.ndarray) -> bytes:
     """Filter bytes holding each n-gram once for each tag up to its level."""
     levels = level(counts)
-    bits = max(64, -(-int(levels.sum()) * BITS // 64) * 64)
-    filled = np.zeros(bits, dtype=bool)
+    filled = np.zeros(max(1, -(-int(levels.sum()) * BITS // 64)), dtype=np.uint64)
     for tag in range(1, int(levels.max(initial=0)) + 1):
         grams, levels = grams[levels >= tag], levels[levels >= tag]
-        for place in _places(grams, tag, bits):
-            filled[place] = True
-    return np.packbits(filled, bitorder="little").tobytes()
+        place, bits = _place(grams, tag, len(filled))
+        np.bitwise_or.at(filled, place, bits)
+    return filled.astype("<u8").tobytes()
 
 
 def probe(segment: np.ndarray, grams: np.ndarray) -> np.ndarray:
     """Levels of n-grams by a segment's bytes."""
+    filled = segment.view("<u8")
     out = np.zeros(len(grams), dtype=np.uint8)
-    alive = np.arange(len(grams))
-    tag = 1
+    alive, tag = np.arange(len(grams)), 1
     while len(alive) and tag < 255:
-        found = np.ones(len(alive), dtype=bool)
-        for place in _places(grams[alive], tag, 8 * len(segment)):
-            found &= (segment[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
-        alive = alive[found]
+        place, bits = _place(grams[alive], tag, len(filled))
+        alive = alive[filled[place] & bits == bits]
         out[alive] = tag
         tag += 1
     return out
@@ -217,9 +230,8 @@ def _waves(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
     return waves
 
 
-def _levels(grams: np.ndarray, power: int, segments: dict[int, np.ndarray]) -> np.ndarray:
-    """Levels of all n-grams of a batch; 0 for those of ranges that are not in ``segments``."""
-    distinct, place = np.unique(grams, return_inverse=True)
+def _levels(distinct: np.ndarray, power: int, segments: dict[int, np.ndarray]) -> np.ndarray:
+    """Levels of n-grams in order; 0 for those of ranges that are not in ``segments``."""
     found = np.zeros(len(distinct), dtype=np.uint8)
     part = _part(distinct, power)
     begin = np.flatnonzero(np.diff(part, prepend=-1))
@@ -227,7 +239,19 @@ def _levels(grams: np.ndarray, power: int, segments: dict[int, np.ndarray]) -> n
         segment = segments.get(int(part[a]))
         if segment is not None:
             found[a:b] = probe(segment, distinct[a:b])
-    return found[place]
+    return found
+
+
+def _both_levels(tokens: Tokens, power: int, segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Levels of the single words and of the pairs of all tokens; the distinct words, and each token's
+    place among them."""
+    words, at = np.unique(tokens.hash, return_inverse=True)
+    grams = gram_hash([words])
+    order = np.argsort(grams)
+    single = np.empty(len(words), dtype=np.uint8)
+    single[order] = _levels(grams[order], power, segments)
+    pairs, place = np.unique(tokens.pairs(), return_inverse=True)
+    return single[at], _levels(pairs, power, segments)[place], words, at
 
 
 def _log_probability(tokens: Tokens, single, pair, total: int, words: int, mu: float) -> np.ndarray:
@@ -277,13 +301,16 @@ def score(
 
     state = rows.withColumn("levels", F.lit(None).cast("binary"))
     for wave in waves[:-1]:
+        sent = send(wave)
         state = materialize(
             spark,
-            state.mapInArrow(_find(send(wave), power), f"doc_id {kind}, text string, levels binary"),
+            state.mapInArrow(_find(sent, power), f"doc_id {kind}, text string, levels binary"),
             "levels",
         )
+        sent.destroy()  # what it was for is written
     state = state.withColumn("row", F.monotonically_increasing_id())
-    last = _finish(send(waves[-1]), spark.sparkContext.broadcast(head), power, total, words, mu)
+    sent, frequent = send(waves[-1]), spark.sparkContext.broadcast(head)
+    last = _finish(sent, frequent, power, total, words, mu)
     scored = materialize(
         spark,
         state.mapInArrow(
@@ -292,6 +319,8 @@ def score(
         ),
         "scored",
     )
+    sent.destroy()
+    frequent.destroy()
     # Words that are not in the table of frequent ones.
     rest = scored.select("row", F.explode("rest").alias("word")).groupBy("row", "word").agg(
         F.count(F.lit(1)).alias("times")
@@ -359,8 +388,7 @@ def _find(sent, power: int):
         segments = _segments(sent)
         for batch in steps(batches):
             tokens = Tokens(batch.column("text"))
-            single = _levels(tokens.single(), power, segments)
-            pair = _levels(tokens.pairs(), power, segments)
+            single, pair, _, _ = _both_levels(tokens, power, segments)
             single, pair = _carried(batch, tokens, single, pair)
             spans = [slice(a, b) for a, b in zip(tokens.first[:-1], tokens.first[1:])]
             levels = pa.array([single[s].tobytes() + pair[s].tobytes() for s in spans], pa.binary())
@@ -376,12 +404,10 @@ def _finish(sent, head, power: int, total: int, words: int, mu: float):
         keys, counts = head.value
         for batch in steps(batches):
             tokens = Tokens(batch.column("text"))
-            single = _levels(tokens.single(), power, segments)
-            pair = _levels(tokens.pairs(), power, segments)
+            single, pair, distinct, place = _both_levels(tokens, power, segments)
             single, pair = _carried(batch, tokens, single, pair)
             value = _log_probability(tokens, single, pair, total, words, mu)
 
-            distinct, place = np.unique(tokens.hash, return_inverse=True)
             at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
             here = keys[at] == distinct if len(keys) else np.zeros(len(distinct), dtype=bool)
             logs = np.where(here, np.log10((counts[at] if len(keys) else 0) + 1.0), 0.0)[place]

@@ -24,20 +24,18 @@ through whatever they are called, and an empty table gives an empty table with t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.arrowtext import SPACED, mix, span_hash, text_bytes
+from tideglass.llm.arrowtext import SPACED, mix, span_hash, text_bytes, word_spans
 from tideglass.llm.common import with_text_column
 
 _U = np.uint64
 _BASE = 0x9FB21C651E98DF25  # odd, so that it has an inverse modulo 2**64
-#: Bytes of a long text, and window hashes, that are worked on at once, about.
-PIECE_BYTES, WINDOW_STEP = 2 << 20, 1 << 18
+#: Window hashes that are worked on at once, about.
+WINDOW_STEP = 1 << 18
 _LOW_BITS = 12
 
 
@@ -191,33 +189,12 @@ def _merge(known, found):
     return start[new], end[new], period[new]
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Starts and ends of words, piece by piece of the bytes; pieces end where words do."""
-    inside_all, at, n = SPACED, 0, len(data)
-    while at < n:
-        end = min(at + PIECE_BYTES, n)
-        while end < n:  # on to the next byte outside words
-            gap = np.flatnonzero(~inside_all[data[end : end + 4096]])
-            end = end + int(gap[0]) if len(gap) else min(end + 4096, n)
-            if len(gap):
-                break
-        inside = inside_all[data[at:end]]
-        before = np.zeros(end - at, dtype=bool)
-        before[1:] = inside[:-1]
-        edges = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
-        before[edges] = False  # words begin anew where texts do
-        after = np.zeros(end - at, dtype=bool)
-        after[:-1] = inside[1:] & before[1:]
-        yield at + np.flatnonzero(inside & ~before), at + np.flatnonzero(inside & ~after) + 1
-        at = end
-
-
 def runs_of_texts(column: pa.Array, least_words: int = 24, least_exponent: int = 3) -> pa.Array:
     """For each text the number of words, the runs, and the text without repetitions."""
     data, offsets = text_bytes(column)
     rows = len(offsets) - 1
     hashes, lengths, firsts = [], [], []
-    for start, end in _pieces(data, offsets):
+    for start, end in word_spans(data, offsets, SPACED):
         if len(start):
             a, b = int(start[0]), int(end[-1])
             hashes.append(span_hash(data[a:b], start - a, end - a))
@@ -264,7 +241,7 @@ def _joined(data: np.ndarray, offsets: np.ndarray, first: np.ndarray, kept: np.n
     full = number[first[1:]] > number[first[:-1]]
     last[places[number[first[1:]][full] - 1]] = True
     parts, sizes, at = [], np.zeros(rows, dtype=np.int64), 0
-    for start, end in _pieces(data, offsets):
+    for start, end in word_spans(data, offsets, SPACED):
         k = len(start)
         if not k:
             continue
