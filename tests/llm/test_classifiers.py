@@ -1,6 +1,8 @@
 """Quality and toxicity: exact inference, held-out accuracy, odd rows."""
 
 import itertools
+import math
+import re
 import zlib
 
 import numpy as np
@@ -86,6 +88,9 @@ def test_quality_of_odd_rows(spark, odd, none, sf_dir):
     kept = line_quality.keep_good(odd, both, F.lit(True), threshold=0.0)
     assert kept.columns == odd.columns and kept.count() == odd.count()
     assert line_quality.keep_good(odd, both, F.lit(True), threshold=1.1).count() == 0
+    clash = odd.withColumnRenamed("node", "_score").withColumnRenamed("kept", "score_")
+    rows = line_quality.keep_good(clash, both, F.lit(True), threshold=0.0).collect()
+    assert {(r["_score"], r["score"], r["score_"]) for r in rows} == {("a", 2.0, "b")}
     assert line_quality.score_quality(none, both, F.lit(True)).collect() == []
 
 
@@ -102,6 +107,75 @@ def test_risk_finds_the_feature_of_the_positives():
     assert toxicity.fit(rows[~known], known[~known], 0.2)[1] < -30
 
 
+def plain_fit(rows, positive, prior, rounds):
+    """The non-negative risk minimised row by row and weight by weight, in plain loops."""
+    number = len(rows[0]) + 1
+    rows = [[*map(float, r), 1.0] for r in rows]
+    confirmed = [r for r, p in zip(rows, positive) if p]
+    others = [r for r, p in zip(rows, positive) if not p]
+    theta = [0.0] * (number - 1) + [math.log(prior / (1 - prior))]
+    moment, square = [0.0] * number, [0.0] * number
+
+    def margin(row):
+        return sum(a * b for a, b in zip(row, theta))
+
+    def mean(values):
+        return sum(values) / len(values)
+
+    for step in range(1, rounds + 1):
+        cost_u = mean([math.log1p(math.exp(margin(r))) for r in others])
+        cost_p = mean([math.log1p(math.exp(margin(r))) for r in confirmed])
+        slope = []
+        for j in range(number):
+            plus_p = mean([-r[j] / (1 + math.exp(margin(r))) for r in confirmed])
+            minus_p = mean([r[j] / (1 + math.exp(-margin(r))) for r in confirmed])
+            minus_u = mean([r[j] / (1 + math.exp(-margin(r))) for r in others])
+            if cost_u - prior * cost_p >= 0:
+                slope.append(prior * plus_p + minus_u - prior * minus_p)
+            else:
+                slope.append(prior * minus_p - minus_u)
+        for j in range(number):
+            slope[j] += 1e-4 * theta[j] if j < number - 1 else 0.0
+            moment[j] = 0.9 * moment[j] + 0.1 * slope[j]
+            square[j] = 0.999 * square[j] + 0.001 * slope[j] ** 2
+            theta[j] -= 0.05 * moment[j] / (1 - 0.9**step) / (math.sqrt(square[j] / (1 - 0.999**step)) + 1e-9)
+    return theta
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.6])
+def test_fit_equals_plain_loops(prior):
+    draw = np.random.default_rng(7)
+    x = (draw.random((60, 3)) < 0.4).astype(np.float32)
+    positive = np.arange(60) < 20
+    x[:16, 0] = 1
+    weights, bias = toxicity.fit(x, positive, prior, rounds=150)
+    assert [*weights, bias] == pytest.approx(plain_fit(x.tolist(), positive.tolist(), prior, 150), rel=1e-6)
+
+
+def test_scores_equal_plain_sets_of_features():
+    texts = ["Ab cdefgh, abcdefgh!", None, "", "été ABCDEFG x1", "zz " * 50 + "abcdef", "cdefghi"]
+
+    def plain(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        raw = [w.encode() for w in words]
+        return {(0, w) for w in raw} | {(n, w[:n]) for n in toxicity.BEGINNINGS for w in raw if len(w) > n}
+
+    known = {}
+    for text in texts:
+        hashes, _ = toxicity.text_features(pa.array([text]))
+        assert len(set(hashes.tolist())) == len(plain(text))
+        for f in plain(text):
+            if f[0] == 0:
+                known[f] = int(toxicity.text_features(pa.array([f[1].decode()]))[0][0])
+    chosen = sorted(known, key=lambda f: known[f])[::2]
+    weights = {f: 0.5 * i - 1 for i, f in enumerate(chosen)}
+    classifier = toxicity.Classifier(
+        np.array([known[f] for f in chosen], np.uint64), np.array([weights[f] for f in chosen]), -0.25
+    )
+    want = [1 / (1 + math.exp(0.25 - sum(w for f, w in weights.items() if f in plain(t)))) for t in texts]
+    assert classifier.score(pa.array(texts)).tolist() == pytest.approx(want, rel=1e-12)
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     nobody = spark.createDataFrame([(5, 0), (6, None)], "doc_id long, toxic int")
     scored = toxicity.score_toxicity(odd, nobody, F.lit(True)).collect()

@@ -7,6 +7,7 @@ share a 64-bit hash with a chance of about 1e-17; callers treat equal hashes as
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text worked on at once in a task, about; a single longer text is worked on alone.
-STEP_BYTES = (2 << 20) - (1 << 17)
+#: Bytes of text worked on at once in a task, about; a single longer text is a step of its own, whose
+#: words are found and hashed in pieces.
+STEP_BYTES = PIECE_BYTES = (2 << 20) - (1 << 17)
 
 _U = np.uint64
 _MULTIPLIER = _U(0x9E3779B97F4A7C15)
@@ -60,8 +62,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    # Those for a step are kept; those for a longer text would stay in a worker's memory for good.
     size = max(1 << 16, 1 << int(n).bit_length())
-    return _powers(size) if size <= 1 << 23 else _powers.__wrapped__(size)
+    return _powers(size) if size <= 1 << 21 else _powers.__wrapped__(n)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +82,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def steps(batches, text: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``limit`` bytes of text each."""
+    """Slices of the batches with about ``limit`` bytes of text each. When a task's batches end, memory
+    that was freed goes back to the system, as a worker that waits would keep it."""
     for batch in batches:
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         if len(lengths) == 0:
@@ -88,6 +92,37 @@ def steps(batches, text: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.R
         starts = np.flatnonzero(np.diff(group, prepend=-1))
         for a, b in zip(starts, [*starts[1:], len(lengths)]):
             yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of words, piece by piece of the bytes; pieces end where words do, so that a very
+    long text takes no more memory at once than a step does."""
+    at, n = 0, len(data)
+    while at < n:
+        end = min(at + PIECE_BYTES, n)
+        while end < n:  # on to the next byte outside words
+            gap = np.flatnonzero(~kind[data[end : end + 4096]])
+            end = end + int(gap[0]) if len(gap) else min(end + 4096, n)
+            if len(gap):
+                break
+        inside = kind[data[at:end]]
+        before = np.zeros(end - at, dtype=bool)
+        before[1:] = inside[:-1]
+        edges = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
+        before[edges] = False  # words begin anew where texts do
+        after = np.zeros(end - at, dtype=bool)
+        after[:-1] = inside[1:] & before[1:]
+        yield at + np.flatnonzero(inside & ~before), at + np.flatnonzero(inside & ~after) + 1
+        at = end
 
 
 class Words:
@@ -95,24 +130,19 @@ class Words:
 
     def __init__(self, column: pa.Array, kind: np.ndarray = SPACED, lower: bool = True):
         data, offsets = text_bytes(column)
-        n = len(data)
         self.rows = len(offsets) - 1
-        inside = kind[data]
-        edge = np.zeros(n + 1, dtype=bool)
-        edge[offsets] = True  # words end where texts end
-        before = np.zeros(n, dtype=bool)
-        after = np.zeros(n, dtype=bool)
-        if n:
-            before[1:] = inside[:-1]
-            after[:-1] = inside[1:]
-        before &= ~edge[:n]
-        after &= ~edge[1:]
-        self.start = np.flatnonzero(inside & ~before)
-        self.end = np.flatnonzero(inside & ~after) + 1
+        starts, ends, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for start, end in word_spans(data, offsets, kind):
+            if len(start):
+                a, b = int(start[0]), int(end[-1])
+                hashes.append(span_hash(data[a:b], start - a, end - a, lower))
+                starts.append(start)
+                ends.append(end)
+        self.start, self.end = np.concatenate(starts), np.concatenate(ends)
+        self.hash = np.concatenate(hashes)
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(self.rows), self.count)
-        self.hash = span_hash(data, self.start, self.end, lower)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of ``n`` words within a row, and the index of their first words."""
@@ -142,6 +172,18 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool
     return mix(value + (end - start).astype(np.uint64) * _MULTIPLIER)
 
 
+def span_hash_in_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """``span_hash`` of spans in order that are short or do not overlap, a piece of the bytes at a time."""
+    if len(start) == 0:
+        return np.zeros(0, np.uint64)
+    edges = np.flatnonzero(np.diff(start // PIECE_BYTES)) + 1
+    parts = []
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(start)]):
+        low, high = int(start[a]), int(end[b - 1])
+        parts.append(span_hash(data[low:high], start[a:b] - low, end[a:b] - low, lower))
+    return np.concatenate(parts)
+
+
 def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of ``values[first[i]:first[i + 1]]`` for each row ``i``; 0 for rows without values."""
     rows = len(first) - 1

@@ -16,7 +16,7 @@ that period and are dropped, by the periodicity lemma.
 What appending word by word reports does not depend on how many words come at a time, so here all words
 of a step of texts are appended at once and each level's catchers are moved on together: ``n``
 comparisons of 64-bit window hashes per level, no matter how periodic the text is. A text longer than a
-step is gone through in pieces; what is kept of it is one number per word.
+step is gone through in pieces; a few numbers per word are kept of it.
 
 A null or empty text has no words and no runs. Repeated rows have equal results, extra columns pass
 through whatever they are called, and an empty table gives an empty table with the new column.

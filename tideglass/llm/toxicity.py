@@ -16,6 +16,9 @@ text is scored whole.
 A null or empty text holds no feature and gets the score of that. Ids may repeat: each row is scored.
 Null ids are passed through and not learned from. Only the id and the text are looked at. Without any
 positive, every score is 0.
+
+An empty table gives no rows. Words of a very long text are hashed in pieces; some 100 bytes per word are held
+while it is scored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.arrowtext import ALPHANUMERIC, Words, mix, ragged, span_hash, steps, text_bytes
+from tideglass.llm.arrowtext import (
+    ALPHANUMERIC,
+    Words,
+    mix,
+    ragged,
+    span_hash_in_pieces,
+    steps,
+    text_bytes,
+)
 from tideglass.llm.common import materialize
 
 #: Positives learned from at most, and features of a classifier at most.
@@ -47,7 +58,7 @@ def text_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for n in BEGINNINGS:
         long = words.end - words.start > n
         start = words.start[long]
-        parts.append(mix(span_hash(data, start, start + n, lower=True) + np.uint64(n)))
+        parts.append(mix(span_hash_in_pieces(data, start, start + n, lower=True) + np.uint64(n)))
         rows.append(words.doc[long])
     return np.concatenate(parts), np.concatenate(rows)
 
