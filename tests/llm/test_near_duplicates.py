@@ -114,3 +114,20 @@ def test_short_and_empty_sets_have_full_signatures():
     found = near_duplicates.signatures(sets, begin, 300)
     assert (found[[0, 3]] == 0).all() and set(found[1]) == set(sets[begin[1] : begin[2]])
     assert set(found[2]) == set(sets[begin[2] : begin[3]])
+
+
+def test_ids_of_text_and_names_the_operator_uses(spark):
+    same = "one two three four five six seven eight nine ten eleven twelve"
+    near = same + " thirteen fourteen"
+    rows = [("b", same, 1, "k"), ("a", same, 2, "k"), ("c", near, 3, "k"), (None, same, 4, "k"), ("z", "other words", 5, "k")]
+    rows += [("z", "other words", 5, "k"), (None, "quite alone", 6, "k")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, rank int, key string")
+    found = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in near_duplicates.near_duplicates(frame).collect()}
+    assert found["b", 8] == found["a", 8] == found["c", 10] == found[None, 8] == "a"
+    kept = near_duplicates.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r["doc_id"] or "-", r["rank"], r["key"]) for r in kept.collect()) == [
+        ("-", 6, "k"), ("a", 2, "k"), ("z", 5, "k"),
+    ]
+    numbers = spark.createDataFrame([(None, same, 7), (1, same, 8)], "doc_id int, text string, _id int")
+    assert [tuple(r) for r in near_duplicates.keep_one(numbers).collect()] == [(1, same, 8)]

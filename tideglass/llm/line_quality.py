@@ -11,8 +11,11 @@ only numbers of sampled documents reach the driver. Every text is scored whole.
 
 A null or empty text is one empty line, and has a score as well. Repeated documents are scored one by
 one, null ids are passed through and never trained on. Only the id and the text are looked at.
-Labels of a repeated id are averaged; ids without a label of 0 or 1 are not trained on. If the sample holds less than
-both labels, every score is the smoothed share of label 1.
+Labels of a repeated id are averaged; ids without a label of 0 or 1 are not trained on. If the sample holds
+less than both labels, every score is the smoothed share of label 1.
+
+An empty table gives no rows. Of a very long text the features of all its lines are held at once,
+about 400 bytes a line; a task that cannot hold them fails.
 """
 
 from __future__ import annotations
@@ -304,7 +307,10 @@ def keep_good(
     """The rows of ``documents`` with a score of at least ``threshold``, with their columns."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     field = train_field(rows, labelled_sample(labels, label_id, label, train, sample))
-    scored = score_column(documents, field, "_score", text).where(F.col("_score") >= threshold)
+    name = "score"
+    while name in documents.columns:
+        name += "_"
+    scored = score_column(documents, field, name, text).where(F.col(name) >= threshold)
     return scored.select(*[F.col(f"`{name}`") for name in documents.columns])
 
 

@@ -21,6 +21,10 @@ With 6 bins a band and 50 bands, two sets with a similarity of 0.75 share no buc
 Without words or text the set is empty: such a document links with nothing. Repeated ids are one
 document: all rows of an id have the links of any of them. A row with a null id is not linked to
 by others, but shows the component its text belongs to; if nothing with an id equals it, null.
+
+Ids of any type that sorts will do. Extra columns are not looked at, or passed through by ``keep_one``
+whatever they are called; an empty table gives no rows. Words of a very long text are found and hashed
+in pieces; its shingle set is held whole by one task, 8 bytes a shingle.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tideglass.llm.arrowtext import SPACED, Words, gram_hash, mix, steps
 from tideglass.llm.common import materialize
@@ -275,11 +280,9 @@ def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     """Pairs of bucket members with the bucket's centres number ``low`` to ``high - 1`` by degree,
     if they are in different components and the sizes of their sets, and of what these share with
     others (``shared``), allow a link."""
-    best = F.struct(
-        "degree", (-F.col("node")).alias("minus"), "n", "component", "shared"
-    )
+    best = F.struct((-F.col("degree")).alias("minus"), "node", "n", "component", "shared")
     if high == 1:
-        centres = members.groupBy("key").agg(F.max(best).alias("centre"))
+        centres = members.groupBy("key").agg(F.min(best).alias("centre"))
     else:
         order = Window.partitionBy("key").orderBy(F.desc("degree"), "node", "n")
         ranked = members.withColumn("rank", F.row_number().over(order))
@@ -287,7 +290,7 @@ def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
             "key", best.alias("centre")
         )
     centres = materialize(members.sparkSession, centres, "centres")
-    node = -F.col("centre.minus")
+    node = F.col("centre.node")
     # An intersection is at most what the smaller of both sets shares with any other.
     shared = F.least("shared", "centre.shared")
     joined = members.join(centres, "key").where(
@@ -347,13 +350,16 @@ def keep_one(
     rows that share an id one stays. Rows with a null id come after all others."""
     spark = documents.sparkSession
     columns = documents.columns
-    rows, key = documents, doc_id
+    # Helper columns bear names that no column of the documents has.
+    rows, key, rank = documents, doc_id, _unused("rank", columns)
     if not documents.where(F.col(f"`{doc_id}`").isNull()).isEmpty():
-        key = "_id"
-        last = documents.agg(F.max(F.col(f"`{doc_id}`").cast("long"))).first()[0] or 0
-        own = F.coalesce(
-            F.col(f"`{doc_id}`").cast("long"), F.monotonically_increasing_id() + F.lit(last + 1)
-        )
+        key = _unused("key", columns)
+        own, number = F.col(f"`{doc_id}`"), F.monotonically_increasing_id()
+        if isinstance(documents.schema[doc_id].dataType, IntegralType):
+            last = documents.agg(F.max(own.cast("long"))).first()[0] or 0
+            own = F.coalesce(own.cast("long"), number + F.lit(last + 1))
+        else:
+            own = F.coalesce(F.concat(F.lit("0"), own.cast("string")), F.concat(F.lit("1"), number))
         rows = materialize(spark, documents.withColumn(key, own), "identified")
     found = near_duplicates(rows, percent, doc_id=key, text=text, **shape)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
@@ -363,6 +369,12 @@ def keep_one(
     if not repeated.isEmpty():
         several = rows.join(repeated, key, "left_semi")
         order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-        first = several.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-        rows = rows.join(repeated, key, "left_anti").unionByName(first.drop("_rank"))
+        first = several.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+        rows = rows.join(repeated, key, "left_anti").unionByName(first.drop(rank))
     return rows.select(*[F.col(f"`{name}`") for name in columns])
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
