@@ -14,6 +14,10 @@ are read once per block, and what was found is carried along.
 Null or empty texts, and texts without words, have no words and hit nothing. Test items without words
 or with a null id are left out; items that repeat an id count once. A null document id is passed
 through, and repeated documents are judged one by one.
+
+Extra columns are not looked at, or passed through by ``remove_leaks``; an empty table gives no rows, and
+without test items nothing is hit. Words of a very long text are hashed in pieces; what is kept of it is a
+few numbers per word.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ find, escape or base64 run can reach across. A run longer than a window is decod
 piece by piece in turn. So memory is bounded, and time grows with what the data inflate to.
 
 Null and empty texts have no spans. Ids are not looked at; repeated rows are scanned one by one.
+
+Extra columns pass through; an empty table gives no rows. A very long text is scanned whole, as one string.
 """
 
 from __future__ import annotations

@@ -7,6 +7,8 @@ equal chunks are looked up. Nothing is shuffled and only numbers leave the Pytho
 
 A null or empty text has no tokens. Rows with null or repeated ids are counted like any other. The
 result holds the id and the counts; other columns of the input are not looked at.
+
+An empty table gives no rows.
 """
 
 from __future__ import annotations

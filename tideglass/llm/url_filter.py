@@ -10,7 +10,7 @@ is built from DataFrame functions; only urls that have an alias link enter the c
 
 A url that is null or has no ``://`` has an empty host and path, fits no rule, has no aliases and is
 allowed. Repeated pages are judged one by one, a page without markup has no links. Extra columns are
-not looked at.
+not looked at, and an empty table gives no rows. Markup of any length is searched whole.
 """
 
 from __future__ import annotations
