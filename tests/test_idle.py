@@ -8,7 +8,7 @@ import pytest
 from tideglass.functions.display import title_case
 from tideglass.schemas import ABSTRACT_SCHEMA
 from tideglass.sources import read_topic_stream
-from tideglass.streaming import IdleLanding, read_landed, read_rejects
+from tideglass.streaming import IdleLanding, land_bronze, read_landed, read_rejects
 
 
 class Topic:
@@ -78,6 +78,21 @@ def test_what_waits_is_landed_once_over_stops(topic):
     assert topic.landed() == ["a", "b"]
 
 
+def test_a_landing_by_the_clock_runs_until_it_is_stopped(spark, topic):
+    stream = read_topic_stream(spark, folder=str(topic.root / "inbox"))
+    query = land_bronze(stream, topic.path, topic.offsets, every="200 milliseconds")
+    try:
+        for text in "ab":
+            topic.send(message(text))
+            query.processAllAvailable()
+        assert query.isActive and topic.landed() == ["a", "b"]
+    finally:
+        query.stop()
+    topic.send(message("c"))
+    land_bronze(stream, topic.path, topic.offsets).awaitTermination()
+    assert topic.landed() == ["a", "b", "c"]
+
+
 def test_an_error_is_told(topic, monkeypatch):
     landing = topic.start(rows=1, idle=1000)
 

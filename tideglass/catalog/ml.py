@@ -17,7 +17,13 @@ from tideglass.operators.cleaning import model_rows
 from tideglass.plans.training import train
 from tideglass.schemas import CATEGORICAL_FEATURES, HEALTH_SCHEMA, NUMERIC_FEATURES, TARGET
 from tideglass.session import materialize, scratch_path
-from tideglass.sources import load_model, save_model
+from tideglass.sources import (
+    decode_messages,
+    load_model,
+    read_topic_stream,
+    save_model,
+    to_messages,
+)
 
 _INDEX_SQL = """
 types AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS type_index,
@@ -157,6 +163,52 @@ def _made_columns(model) -> list[str]:
     return [c for stage in model.stages for c in features._columns(stage, "outputCol")]
 
 
+@query(
+    "stream_scored",
+    f"""WITH {HEALTH_SQL}
+    SELECT l_orderkey, count(*) AS n_rows, true AS in_label_range, true AS as_in_batch FROM health
+    WHERE {" AND ".join(f"{name} IS NOT NULL" for name in _MODEL_COLUMNS)} GROUP BY l_orderkey""",
+)
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows sent as requests and scored by a stream; by order, whether the predictions lie in the
+    range of the labels, as a forest's do, and are those of a batch."""
+    rows = health(spark, sf_dir, ("l_orderkey",)).select("l_orderkey", *_MODEL_COLUMNS)
+    rows = materialize(spark, rows.na.drop(subset=_MODEL_COLUMNS), "model-rows")
+    model = features.regression_pipeline(trees=4, depth=3).fit(rows)
+    requests = rows.drop(TARGET)
+    folder, path = scratch_path(spark, "requests"), scratch_path(spark, "scored")
+    to_messages(requests).write.text(folder)
+    messages = decode_messages(read_topic_stream(spark, folder=folder), requests.schema)
+    (
+        features.score(model, messages.drop("reject"))
+        .select("l_orderkey", "prediction")
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", scratch_path(spark, "scored-offsets"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    bounds = rows.agg(F.min(TARGET).alias("low"), F.max(TARGET).alias("high")).first()
+
+    def by_order(scored: DataFrame, name: str) -> DataFrame:
+        return scored.groupBy("l_orderkey").agg(
+            F.count("*").alias(f"{name}_rows"),
+            F.sum("prediction").alias(f"{name}_sum"),
+            F.bool_and(F.col("prediction").between(bounds["low"], bounds["high"])).alias(f"{name}_in"),
+        )
+
+    streamed = by_order(spark.read.parquet(path), "stream")
+    batch = by_order(features.score(model, requests), "batch")
+    close = F.abs(F.col("stream_sum") - F.col("batch_sum")) <= 1e-9 * F.abs(F.col("batch_sum"))
+    return streamed.join(batch, "l_orderkey", "full").select(
+        "l_orderkey",
+        F.col("stream_rows").alias("n_rows"),
+        F.col("stream_in").alias("in_label_range"),
+        F.coalesce(close & (F.col("stream_rows") == F.col("batch_rows")), F.lit(False)).alias("as_in_batch"),
+    )
+
+
 @query(
     "string_index_many",
     """SELECT p_partkey, CAST(n AS DOUBLE) AS p_name_index FROM part JOIN (
