@@ -3,6 +3,13 @@
 Each stage works on all that its predecessor kept, written as Parquet in the shared folder and read
 again: documents of low quality go, one document of each group of near duplicates stays, documents
 that hold passages of the benchmark go, secrets are masked, and what is left is packed into sequences.
+
+All stages but the last return the columns of their documents, extra ones too, whatever those are called. A
+null text counts as empty: it has a score like any other, is near no other document, holds no passage
+and no secret, and is packed as its end token. Documents with a null id are judged by their texts, stay
+if no document with an id is their duplicate, and come after all others where one of a group has to
+stay. Of rows that share an id one stays, the first by a hash of its columns. An empty table
+goes through as one. Long texts are worked on whole, as the operators state.
 """
 
 from __future__ import annotations
