@@ -41,7 +41,7 @@ def topic(spark, tmp_path):
 
 
 def test_a_batch_closes_when_full_and_when_idle(spark, topic):
-    landing = topic.start(rows=3, idle=4)
+    landing = topic.start(rows=3, idle=8)
     try:
         topic.send(message("a"), message("b"))
         topic.send(message("c"), "broken")
@@ -49,11 +49,11 @@ def test_a_batch_closes_when_full_and_when_idle(spark, topic):
         assert landing.closed == [("full", 4)] and topic.landed() == ["a", "b", "c"]
         began = time.monotonic()
         topic.send(message("d"))
-        time.sleep(2)
+        time.sleep(3)
         assert len(landing.closed) == 1  # neither full nor idle yet
         topic.send(message("e"))  # the idle time begins anew with each message
         landing.await_batches(2)
-        assert time.monotonic() - began >= 6
+        assert time.monotonic() - began >= 11
         assert landing.closed[1] == ("idle", 2) and topic.landed() == ["a", "b", "c", "d", "e"]
     finally:
         landing.stop()
