@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once in a task, about; a single longer text is a step of its own, whose
 #: words are found and hashed in pieces.
-STEP_BYTES = PIECE_BYTES = (2 << 20) - (1 << 17)
+STEP_BYTES = PIECE_BYTES = (1 << 20) - (1 << 17)
 
 _U = np.uint64
 _MULTIPLIER = _U(0x9E3779B97F4A7C15)
@@ -64,7 +64,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     # Those for a step are kept; those for a longer text would stay in a worker's memory for good.
     size = max(1 << 16, 1 << int(n).bit_length())
-    return _powers(size) if size <= 1 << 21 else _powers.__wrapped__(n)
+    return _powers(size) if size <= 1 << 20 else _powers.__wrapped__(n)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

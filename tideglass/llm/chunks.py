@@ -8,12 +8,13 @@ bounds what a tokenizer sees of a long text, and lets equal chunks of a batch be
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 
-from tideglass.llm.arrowtext import span_hash, text_bytes
+from tideglass.llm.arrowtext import give_back, span_hash, text_bytes
 
 
 def _bytes(members) -> np.ndarray:
@@ -51,13 +52,14 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, cuts) -> np.ndarray:
 class ChunkCache:
     """What ``encode`` gives for each chunk, remembered by its hash within one Python worker.
 
-    ``encode`` takes a list of texts and returns one value each. Memory is bounded: new and used
-    chunks are in one of two generations of at most ``most``, and when the younger is full the older
-    is given up, so frequent chunks stay.
+    ``encode`` takes a list of texts and returns one value each. Memory is bounded by bytes: new and
+    used chunks are in one of two generations of about ``most`` bytes, and when the younger is full the
+    older is given up, so frequent chunks stay.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 24 << 20):
         self.encode, self.most, self.young, self.old = encode, most, {}, {}
+        self.size = 0
 
     def values(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list, np.ndarray]:
         """Values of the distinct spans, and for each span the place of its value."""
@@ -83,9 +85,16 @@ class ChunkCache:
                 self._keep(keys[i], value)
         return found, place
 
+    def rest(self) -> None:
+        """Give up the older generation: between tasks a worker waits, and other stages need the memory."""
+        self.old = {}
+        give_back()
+
     def _keep(self, key: int, value) -> None:
-        if len(self.young) >= self.most:
-            self.old, self.young = self.young, {}
+        # An entry of the table and its key take about 140 bytes beside the value.
+        self.size += 140 + sys.getsizeof(value)
+        if self.size > self.most:
+            self.old, self.young, self.size = self.young, {}, 0
         self.young[key] = value
 
 

@@ -12,6 +12,9 @@ length into the ``i``-th slot that the plan holds for it.
 
 A null or empty text is one piece holding only the end token. Repeated ids and repeated rows are
 packed one by one. Columns other than the id and the text are not looked at.
+
+An empty table gives no rows. A very long text is encoded in chunks; its ids are held whole by one task,
+4 bytes each.
 """
 
 from __future__ import annotations
@@ -100,6 +103,7 @@ def pieces(
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        byte_ids(tokenizer).rest()
 
     kind = documents.schema[doc_id].dataType.simpleString()
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
