@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from tideglass.llm.arrowtext import give_back, span_hash, text_bytes
+from tideglass.llm.arrowtext import span_hash, text_bytes
 
 
 def _bytes(members) -> np.ndarray:
@@ -57,7 +57,7 @@ class ChunkCache:
     older is given up, so frequent chunks stay.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 24 << 20):
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 40 << 20):
         self.encode, self.most, self.young, self.old = encode, most, {}, {}
         self.size = 0
 
@@ -85,11 +85,6 @@ class ChunkCache:
                 self._keep(keys[i], value)
         return found, place
 
-    def rest(self) -> None:
-        """Give up the older generation: between tasks a worker waits, and other stages need the memory."""
-        self.old = {}
-        give_back()
-
     def _keep(self, key: int, value) -> None:
         # An entry of the table and its key take about 140 bytes beside the value.
         self.size += 140 + sys.getsizeof(value)

@@ -103,7 +103,6 @@ def pieces(
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
-        byte_ids(tokenizer).rest()
 
     kind = documents.schema[doc_id].dataType.simpleString()
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
