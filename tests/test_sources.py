@@ -170,3 +170,35 @@ def test_versions_leave_readers_alone(spark, tmp_path):
     second = sources.write_version(reader.filter("id > 0"), path)
     assert first != second and reader.count() == 3 and spark.read.parquet(second).count() == 2
     assert sorted([first, second]) == [first, second]
+
+
+def test_messages_are_compressed_in_files_of_bounded_size(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "concat('a long name ', id % 7) AS a_field_that_repeats")
+    folder = tmp_path / "messages"
+    sources.write_messages(sources.to_messages(rows.coalesce(2)), str(folder), most=200)
+    files = list(folder.glob("part-*"))
+    assert len(files) >= 5 and all(f.name.endswith(".gz") for f in files)
+    plain = sum(len(r["value"]) for r in sources.to_messages(rows).collect())
+    assert sum(f.stat().st_size for f in files) < plain / 4
+    assert sorted(sources.read_bronze(spark, str(folder), rows.schema).collect()) == sorted(rows.collect())
+    streamed = sources.read_topic_stream(spark, folder=str(folder))
+    query = streamed.writeStream.format("memory").queryName("compressed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("compressed").count() == 1000
+
+
+def test_medallion_queries_send_compressed_messages(spark, sf_dir, monkeypatch):
+    from pathlib import Path
+
+    from tideglass.catalog import streams
+
+    roots = []
+
+    def kept(session, name):
+        roots.append(scratch_path(session, name))
+        return roots[-1]
+
+    monkeypatch.setattr(streams, "scratch_path", kept)
+    streams.silver_keeps_fields(spark, sf_dir)
+    files = [f for root in roots for f in Path(root.removeprefix("file:")).rglob("bronze/*/part-*")]
+    assert files and all(f.name.endswith(".gz") for f in files)

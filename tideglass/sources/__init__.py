@@ -1,5 +1,5 @@
 from tideglass.sources.kafka import kafka_sink_options, kafka_source_options, read_topic_stream
-from tideglass.sources.messages import decode_messages, publish_messages, to_messages
+from tideglass.sources.messages import decode_messages, publish_messages, to_messages, write_messages
 from tideglass.sources.models import load_model, save_model
 from tideglass.sources.tables import (
     read_bronze,
@@ -27,6 +27,7 @@ __all__ = [
     "rows_to_frame",
     "save_model",
     "to_messages",
+    "write_messages",
     "write_table",
     "write_version",
 ]
