@@ -139,3 +139,28 @@ def test_importance_finds_the_signal(signal):
     best = {r["feature"] for r in top[:3]}
     # The first country in order is the dropped level.
     assert best == {"Incidence_Rate_Percent", "Country_vec_B", "Country_vec_C"}
+
+
+def test_many_rows_are_fitted_in_tasks_of_bounded_size(spark, signal, monkeypatch):
+    """However few partitions the rows have, each task holds its share alone."""
+    sizes = []
+    forest = features.random_forest
+
+    def watched(*args, **kwargs):
+        made = forest(*args, **kwargs)
+        fit = made.fit
+
+        def fit_watched(frame):
+            sizes.extend(frame.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+            return fit(frame)
+
+        made.fit = fit_watched
+        return made
+
+    monkeypatch.setattr(features, "random_forest", watched)
+    rows = signal.select(*features.NUMERIC_FEATURES, *features.CATEGORICAL_FEATURES, features.TARGET).na.drop().coalesce(1)
+    number = rows.count()
+    model = features.fit_regression(rows, trees=3, depth=2, task_rows=-(-number // 16))
+    assert len(sizes) >= 16 and sum(sizes) == number and max(sizes) < number / 4
+    assert features.required_features(model) == (features.NUMERIC_FEATURES, features.CATEGORICAL_FEATURES)
+    assert features.score(model, rows).count() == number

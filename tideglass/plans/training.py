@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tideglass.operators.cleaning import model_rows
 from tideglass.operators.dedup import hash_bucket
-from tideglass.operators.features import regression_metrics, regression_pipeline
+from tideglass.operators.features import fit_regression, regression_metrics
 from tideglass.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tideglass.session import materialize
 
@@ -53,10 +53,12 @@ def train(
     rows = rows.withColumn(FIT_SIDE, hash_bucket(split_on or rows.columns) < pct)
     if staged:
         rows = materialize(silver.sparkSession, rows, "model-rows")
-    if rows.isEmpty():
+    number = rows.count()
+    if not number:
         return None
     fit_rows = rows.filter(FIT_SIDE).drop(FIT_SIDE)
     test_rows = rows.filter(~F.col(FIT_SIDE)).drop(FIT_SIDE)
-    model = regression_pipeline(numeric, categorical, target, **forest).fit(fit_rows)
+    about = -(-number * pct // 100)
+    model = fit_regression(fit_rows, numeric, categorical, target, number=about, **forest)
     predictions = model.transform(test_rows)
     return Training(model, predictions, regression_metrics(predictions, target))
