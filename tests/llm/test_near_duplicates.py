@@ -131,3 +131,49 @@ def test_ids_of_text_and_names_the_operator_uses(spark):
     ]
     numbers = spark.createDataFrame([(None, same, 7), (1, same, 8)], "doc_id int, text string, _id int")
     assert [tuple(r) for r in near_duplicates.keep_one(numbers).collect()] == [(1, same, 8)]
+
+
+def test_bitmaps_rule_out_pairs_without_a_link(spark, monkeypatch):
+    """Texts of passages in two versions share every shingle with some other text and are far from being
+    near duplicates of any but their exact neighbours; hardly a pair is looked at."""
+    rng = random.Random(5)
+    passages = [[[f"w{p}v{v}x{i}" for i in range(10)] for v in range(2)] for p in range(20)]
+    texts = []
+    for _ in range(60):
+        flipped = set(rng.sample(range(20), 4))
+        texts.append(" ".join(w for p in range(20) for w in passages[p][p in flipped]))
+    texts += [" ".join(t.split()[:-1] + ["end"]) for t in texts[:5]]  # near duplicates of the first
+    looked_at = []
+    plain = near_duplicates.confirmed
+
+    def counted(pairs, sets, percent):
+        looked_at.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(near_duplicates, "confirmed", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(docs).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    least = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+    linked = sum(
+        100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) for a in range(len(texts)) for b in range(a)
+    )
+    assert [found[i] for i in range(len(texts))] == least
+    assert sum(looked_at) <= 2 * linked
+
+
+def test_bitmaps_bound_what_a_set_lacks():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (0, 1, 300, 4000)]
+    sets.append(np.unique(np.concatenate([sets[2][:200], sets[3][:50]])))
+    begin = np.cumsum([0] + [len(s) for s in sets])
+    bits = near_duplicates.bitmaps(np.concatenate(sets), begin)
+    for a, one in zip(bits, sets):
+        for b, other in zip(bits, sets):
+            lacking = sum(bin(int(x)).count("1") for x in a & ~b)
+            assert lacking <= len(np.setdiff1d(one, other))

@@ -13,7 +13,9 @@ pairs across components not compared before are checked, until every member has
 pair that shares a bucket is missed, while a group of copies costs one star. Shingles
 that only one node (later: one component) has are counted out, since they are in no intersection still
 to be found: a set whose other shingles are too few for a link with any member of a bucket is done
-there, and a pair is checked only if they are enough for it.
+there, and a pair is checked only if they are enough for it. Each set also has a bitmap of its shingles:
+a bit that one set has and the other lacks is a shingle that is not in both, so a pair is checked only if
+the bits allow a link.
 
 With 6 bins a band and 50 bands, two sets with a similarity of 0.75 share no bucket with a chance of
 6e-5, at 0.8 with one of 2e-7.
@@ -44,6 +46,8 @@ from tideglass.llm.components import components
 BANDS, BAND_BINS = 50, 6
 #: Donors tried for an empty bin before the nearest filled one after it is taken.
 ATTEMPTS = 64
+#: Words of 64 bits in the bitmap of a set, which bounds its intersection with another.
+BIT_WORDS = 16
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,18 +144,33 @@ def _sketch(size: int, bands: int, band_bins: int):
     return run
 
 
+def bitmaps(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Rows x ``BIT_WORDS`` of 64 bits, of which each shingle sets one."""
+    out = np.zeros((len(begin) - 1, BIT_WORDS), dtype=np.uint64)
+    row = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    bit = mix(sets) % np.uint64(64 * BIT_WORDS)
+    place = (row, (bit >> np.uint64(6)).astype(np.int64))
+    np.bitwise_or.at(out, place, np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
+_BITS = [f"bits_{k}" for k in range(BIT_WORDS)]
+
+
 def _sets(size: int):
     def run(batches):
         for batch in steps(batches):
             sets, begin = shingle_sets(Words(batch.column("text"), SPACED), size)
+            bits = bitmaps(sets, begin).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     pa.ListArray.from_arrays(
                         pa.array(begin.astype(np.int32)), pa.array(sets.astype(np.int64))
                     ),
+                    *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(BIT_WORDS)],
                 ],
-                names=["node", "shingles"],
+                names=["node", "shingles", *_BITS],
             )
 
     return run
@@ -276,11 +295,27 @@ def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(spark, able.join(materialize(spark, sizes, "bucket-sizes"), "key"), "members")
 
 
+def _with_bits(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``members`` with the bitmaps of their nodes; null for a node with several sets."""
+    ends = [f(b).alias(f"{b}_{name}") for b in _BITS for f, name in ((F.min, "first"), (F.max, "last"))]
+    bits = sets.groupBy("node").agg(*ends)
+    bits = bits.select(
+        "node", *[F.when(F.col(f"{b}_first") == F.col(f"{b}_last"), F.col(f"{b}_first")).alias(b) for b in _BITS]
+    )
+    return members.join(materialize(members.sparkSession, bits, "bitmaps"), "node")
+
+
+def _lacking(one: str, other: str) -> Column:
+    """At least how many shingles of one set the other lacks, by their bitmaps; 0 without."""
+    lacking = [F.bit_count(F.col(one + b).bitwiseAND(F.bitwise_not(F.col(other + b)))) for b in _BITS]
+    return sum((F.coalesce(n, F.lit(0)) for n in lacking), F.lit(0))
+
+
 def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     """Pairs of bucket members with the bucket's centres number ``low`` to ``high - 1`` by degree,
-    if they are in different components and the sizes of their sets, and of what these share with
-    others (``shared``), allow a link."""
-    best = F.struct((-F.col("degree")).alias("minus"), "node", "n", "component", "shared")
+    if they are in different components and the sizes of their sets, of what these share with others
+    (``shared``), and their bitmaps allow a link."""
+    best = F.struct((-F.col("degree")).alias("minus"), "node", "n", "component", "shared", *_BITS)
     if high == 1:
         centres = members.groupBy("key").agg(F.min(best).alias("centre"))
     else:
@@ -291,8 +326,14 @@ def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
         )
     centres = materialize(members.sparkSession, centres, "centres")
     node = F.col("centre.node")
-    # An intersection is at most what the smaller of both sets shares with any other.
-    shared = F.least("shared", "centre.shared")
+    # An intersection is at most what the smaller of both sets shares with any other, and no more than
+    # either set without what the other lacks.
+    shared = F.least(
+        "shared",
+        "centre.shared",
+        F.col("n") - _lacking("", "centre."),
+        F.col("centre.n") - _lacking("centre.", ""),
+    )
     joined = members.join(centres, "key").where(
         (F.col("component") != F.col("centre.component"))
         & _enough(shared, F.col("n") + F.col("centre.n"), percent)
@@ -320,10 +361,15 @@ def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int)
     nodes = members.select("node").distinct()
     texts = rows.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
     sets = materialize(
-        spark, texts.mapInArrow(_sets(shingle_words), f"node {kind}, shingles array<long>"), "sets"
+        spark,
+        texts.mapInArrow(
+            _sets(shingle_words),
+            f"node {kind}, shingles array<long>, " + ", ".join(f"{b} long" for b in _BITS),
+        ),
+        "sets",
     )
     alone = members.withColumns({"component": F.col("node"), "shared": F.col("n")})
-    members = _able(alone, sets, percent)
+    members = materialize(spark, _with_bits(_able(alone, sets, percent), sets), "members")
     tested = materialize(spark, _pairs(members, 0, 1, percent), "pairs")
     links = materialize(spark, confirmed(tested, sets, percent), "links")
     labels = materialize(spark, components(links), "labels")
