@@ -177,3 +177,21 @@ def test_bitmaps_bound_what_a_set_lacks():
         for b, other in zip(bits, sets):
             lacking = sum(bin(int(x)).count("1") for x in a & ~b)
             assert lacking <= len(np.setdiff1d(one, other))
+
+
+def test_settled_buckets_are_not_looked_at_again(spark, monkeypatch):
+    """Rounds of more centres go on with the buckets that the round before has left open."""
+    taken = Counter()
+    plain = near_duplicates.materialize
+
+    def counted(session, frame, name):
+        out = plain(session, frame, name)
+        taken[name] += out.count()
+        return out
+
+    monkeypatch.setattr(near_duplicates, "materialize", counted)
+    rows = made_group(random.Random(8))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(frame).collect()}
+    assert found == brute(rows)
+    assert taken["seen"] <= 3300

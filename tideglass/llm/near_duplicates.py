@@ -341,17 +341,23 @@ def _pairs(members: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     return joined.select(F.greatest("node", node).alias("a"), F.least("node", node).alias("b")).distinct()
 
 
-def _unsettled(members: DataFrame, labels: DataFrame, centres: int) -> DataFrame:
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``members`` with the components that ``labels`` now gives their nodes."""
+    members = members.drop("component").join(labels, "node", "left")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    return materialize(members.sparkSession, members, "seen")
+
+
+def _unsettled(members: DataFrame, centres: int) -> DataFrame:
     """The members of buckets that hold several components and pairs without any of the first
     ``centres`` members."""
     spark = members.sparkSession
-    seen = members.where(F.col("size") > centres + 1).drop("component").join(labels, "node", "left")
-    seen = materialize(spark, seen.withColumn("component", F.coalesce("component", "node")), "seen")
-    ends = seen.groupBy("key").agg(
+    open_ = members.where(F.col("size") > centres + 1)
+    ends = open_.groupBy("key").agg(
         F.min("component").alias("first"), F.max("component").alias("last")
     )
     keys = materialize(spark, ends.where("first <> last").select("key"), "unsettled")
-    return materialize(spark, seen.join(keys, "key"), "seen")
+    return materialize(spark, open_.join(keys, "key"), "seen")
 
 
 def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int) -> DataFrame:
@@ -373,20 +379,23 @@ def _link(rows: DataFrame, members: DataFrame, percent: int, shingle_words: int)
     tested = materialize(spark, _pairs(members, 0, 1, percent), "pairs")
     links = materialize(spark, confirmed(tested, sets, percent), "links")
     labels = materialize(spark, components(links), "labels")
-    members = _able(_unsettled(members, labels, 1), sets, percent)
-    low, high = 0, 2
-    while True:
-        seen = _unsettled(members, labels, low)
-        if seen.isEmpty():
-            return labels
-        fresh = _pairs(seen, low, high, percent).join(tested, ["a", "b"], "left_anti")
+    members = members.where("size > 2")  # of two, one has been the centre
+    members = _able(_unsettled(_labelled(members, labels), 1), sets, percent)
+    # A settled bucket stays so, as components only grow: a round looks at what the one before left.
+    members, low, high = _unsettled(members, 0), 0, 2
+    while not members.isEmpty():
+        fresh = _pairs(members, low, high, percent).join(tested, ["a", "b"], "left_anti")
         fresh = materialize(spark, fresh, "pairs")
         found = materialize(spark, confirmed(fresh, sets, percent), "links")
         tested = tested.unionByName(fresh)
+        low, high = high, 3 * high
+        members = members.where(F.col("size") > low + 1)
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = materialize(spark, components(links), "labels")
-        low, high = high, 3 * high
+            members = _labelled(members, labels)
+        members = _unsettled(members, low)
+    return labels
 
 
 def keep_one(
