@@ -99,3 +99,15 @@ def test_odd_and_no_documents(spark, odd, none, sf_dir):
             assert out.columns == frame.columns
             assert (out.count() == 0) if frame is none else True
         corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).collect()
+
+
+def test_batches_of_texts_are_bounded(spark, sf_dir):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = read_table(spark, sf_dir, "documents")
+    before = spark.conf.get(setting)
+    for given, used in (("10000", corpus_pipeline.BATCH_ROWS), ("0", corpus_pipeline.BATCH_ROWS), ("7", 7)):
+        spark.conf.set(setting, given)
+        stage = corpus_pipeline.mask_secrets(spark, docs, sf_dir)
+        assert int(spark.conf.get(setting)) == used
+    assert stage.count() == docs.count()
+    spark.conf.set(setting, before)

@@ -1,5 +1,6 @@
 """Token counts and packing against the tokenizers themselves."""
 
+import os
 import random
 import zlib
 from collections import Counter
@@ -8,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from tideglass.llm import packing, token_counts
+from tideglass.llm import arrowtext, chunks, packing, token_counts
 from tideglass.llm.arrowtext import steps
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -149,3 +150,29 @@ def test_a_swap_saves_a_bin():
     plan = packing.plan({6: 1, 3: 1, 2: 2}, 10)
     assert plan.bins == 2
     assert sorted(plan.length[plan.bin == 0].tolist()) == [2, 2, 6]
+
+
+def test_a_worker_lets_go_of_another_operators_cache():
+    batch = pa.RecordBatch.from_arrays([pa.array(["some text", None])], names=["text"])
+    packing.encode_rows(batch.column("text"), BYTE_LEVEL, 2)
+    assert len(list(arrowtext.steps([batch], keeps=packing.byte_ids))) == 1
+    assert packing.byte_ids.cache_info().currsize
+    list(arrowtext.steps([batch]))
+    assert not packing.byte_ids.cache_info().currsize
+
+
+def test_chunks_are_encoded_in_bounded_lists_on_one_thread():
+    column = pa.array([" ".join(f"w{i}" for i in range(3 * chunks.ENCODED_AT_ONCE))])
+    cache, sizes = packing.byte_ids(BYTE_LEVEL), []
+    plain = cache.encode
+
+    def encode(texts):
+        sizes.append(len(texts))
+        return plain(texts)
+
+    data, start, end, _ = chunks.chunk_spans(column, chunks.BYTE_LEVEL)
+    values, place = chunks.ChunkCache(encode).values(data, start, end)
+    assert len(sizes) > 2 and max(sizes) <= chunks.ENCODED_AT_ONCE
+    whole = plain([bytes(data[a:b]).decode() for a, b in zip(start, end)])
+    assert [values[i] for i in place] == whole
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"

@@ -8,7 +8,7 @@ share a 64-bit hash with a chance of about 1e-17; callers treat equal hashes as
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -81,9 +81,29 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def steps(batches, text: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+#: Functions whose values a worker keeps from one task to the next.
+_KEPT: list = []
+
+
+def kept(function: Callable) -> Callable:
+    """``function`` with its last values kept from one task to the next, until the worker gets a task of
+    an operator that does not ask for them (``steps``)."""
+    cached = lru_cache(maxsize=4)(function)
+    _KEPT.append(cached)
+    return cached
+
+
+def steps(
+    batches, text: str = "text", limit: int = STEP_BYTES, keeps: Callable | None = None
+) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text each. When a task's batches end, memory
-    that was freed goes back to the system, as a worker that waits would keep it."""
+    that was freed goes back to the system, as a worker that waits would keep it. Of what earlier tasks
+    have ``kept`` only the values of ``keeps`` stay."""
+    idle = [f for f in _KEPT if f is not keeps and f.cache_info().currsize]
+    for function in idle:
+        function.cache_clear()
+    if idle:
+        give_back()
     for batch in batches:
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         if len(lengths) == 0:

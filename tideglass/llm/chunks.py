@@ -8,6 +8,7 @@ bounds what a tokenizer sees of a long text, and lets equal chunks of a batch be
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 
@@ -49,6 +50,10 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, cuts) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+#: Chunks encoded at once: what a library returns of a chunk takes many times the chunk's memory.
+ENCODED_AT_ONCE = 4096
+
+
 class ChunkCache:
     """What ``encode`` gives for each chunk, remembered by its hash within one Python worker.
 
@@ -78,11 +83,13 @@ class ChunkCache:
         if absent:
             raw = data.tobytes()
             at = sample[absent]
-            spans = zip(start[at].tolist(), end[at].tolist())
-            texts = [raw[a:b].decode("utf-8") for a, b in spans]
-            for i, value in zip(absent, self.encode(texts)):
-                found[i] = value
-                self._keep(keys[i], value)
+            spans = list(zip(absent, start[at].tolist(), end[at].tolist()))
+            for low in range(0, len(spans), ENCODED_AT_ONCE):
+                some = spans[low : low + ENCODED_AT_ONCE]
+                texts = [raw[a:b].decode("utf-8") for _, a, b in some]
+                for (i, _, _), value in zip(some, self.encode(texts)):
+                    found[i] = value
+                    self._keep(keys[i], value)
         return found, place
 
     def _keep(self, key: int, value) -> None:
@@ -93,6 +100,18 @@ class ChunkCache:
         self.young[key] = value
 
 
+def byte_level_tokenizer(path: str):
+    """The tokenizer in a file, which encodes on the core of the task that calls it: each thread of its own
+    would hold memory between tasks."""
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 def chunk_spans(column: pa.Array, cuts):
     """Bytes of a text column, chunk starts and ends, and the first chunk of each row."""
     data, offsets = text_bytes(column)

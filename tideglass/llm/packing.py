@@ -22,29 +22,24 @@ from __future__ import annotations
 import struct
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideglass.llm.arrowtext import ragged, row_sums, steps
-from tideglass.llm.chunks import BYTE_LEVEL, ChunkCache, chunk_spans
+from tideglass.llm.arrowtext import kept, ragged, row_sums, steps
+from tideglass.llm.chunks import BYTE_LEVEL, ChunkCache, byte_level_tokenizer, chunk_spans
 from tideglass.llm.common import materialize
 
 #: Pieces of one length that meet in one task, about; and the fewest buckets a length is dealt to.
 BUCKET_ROWS, LEAST_BUCKETS = 50_000, 256
 
 
-@lru_cache(maxsize=4)
+@kept
 def byte_ids(path: str) -> ChunkCache:
     """Ids of chunks, as little-endian 32-bit bytes."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    tokenizer = byte_level_tokenizer(path)
 
     def encode(texts: list[str]) -> list[bytes]:
         encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -82,7 +77,7 @@ def pieces(
     all others are full."""
 
     def run(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, keeps=byte_ids):
             ids, lengths = encode_rows(batch.column("text"), tokenizer, end_id)
             number = -(-lengths // capacity)
             owner = np.repeat(np.arange(len(lengths)), number)

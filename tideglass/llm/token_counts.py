@@ -13,18 +13,17 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.arrowtext import row_sums, steps, text_bytes
-from tideglass.llm.chunks import BYTE_LEVEL, PIECES, ChunkCache, chunk_spans
+from tideglass.llm.arrowtext import kept, row_sums, steps, text_bytes
+from tideglass.llm.chunks import BYTE_LEVEL, PIECES, ChunkCache, byte_level_tokenizer, chunk_spans
 
 
-@lru_cache(maxsize=4)
+@kept
 def piece_lengths(model: str) -> ChunkCache:
     """Lengths by a sentencepiece model that puts a blank before each text. A chunk comes without
     its leading blank, which the model then adds; a chunk that was only this blank is one token."""
@@ -50,13 +49,9 @@ def _count_pieces(column: pa.Array, model: str) -> np.ndarray:
     return row_sums(counts, first).astype(np.int64)
 
 
-@lru_cache(maxsize=4)
+@kept
 def _byte_lengths(path: str) -> ChunkCache:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    tokenizer = byte_level_tokenizer(path)
 
     def encode(texts: list[str]) -> list[int]:
         return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -84,10 +79,11 @@ def token_counts(
     ``tokenizer`` is the path, on every worker, of a sentencepiece ``.model`` whose pieces start
     at blanks and that does not normalise text, or of a byte-level BPE ``.json``.
     """
-    count = _count_pieces if tokenizer.endswith(".model") else _count_bytes
+    pieces = tokenizer.endswith(".model")
+    count, keeps = (_count_pieces, piece_lengths) if pieces else (_count_bytes, _byte_lengths)
 
     def run(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, keeps=keeps):
             column = batch.column("text")
             _, offsets = text_bytes(column)
             yield pa.RecordBatch.from_arrays(
