@@ -64,6 +64,36 @@ def test_the_filter_never_forgets():
     assert (bloom_lm.probe(segment, absent) > 0).mean() < 0.06
 
 
+def test_all_segments_are_probed_at_once(monkeypatch):
+    """As many passes as there are tags, however many segments; ranges of other waves have level 0."""
+    draw, power = np.random.default_rng(2), 6
+    grams = np.unique(draw.integers(0, 2**64, 20_000, dtype=np.uint64))
+    counts = draw.integers(1, 500, len(grams))
+    part = bloom_lm._part(grams, power)
+    sent = [i for i in range(1 << power) if i % 3]
+    bits = [bloom_lm.build_segment(grams[part == i], counts[part == i]) for i in sent]
+    segments = bloom_lm.Segments.of(sent, [len(b) for b in bits], b"".join(bits), power)
+    asked = np.unique(np.append(grams, draw.integers(0, 2**64, 5_000, dtype=np.uint64)))
+    home = bloom_lm._part(asked, power)
+    alone = np.zeros(len(asked), np.uint8)
+    for i, segment in zip(sent, bits):
+        alone[home == i] = bloom_lm.probe(np.frombuffer(segment, np.uint8), asked[home == i])
+    passes, place = [], bloom_lm._place
+    monkeypatch.setattr(bloom_lm, "_place", lambda *given: passes.append(1) or place(*given))
+    found = bloom_lm._levels(asked, power, segments)
+    assert (found == alone).all() and (found[home % 3 == 0] == 0).all() and (found > 0).any()
+    assert len(passes) <= int(found.max()) + 1
+
+
+def test_memory_of_sums_goes_back(monkeypatch):
+    """A worker that has summed waits beside those of the next stage."""
+    returned = []
+    monkeypatch.setattr(bloom_lm, "give_back", lambda: returned.append(1))
+    batches = [pa.record_batch([pa.array(["a b a", None, "c"])], names=["text"])]
+    parts = list(bloom_lm._sums(iter(batches), lambda t: [t.hash]))
+    assert returned and int(parts[0][1].sum()) == 7
+
+
 def test_counts_are_packed_without_loss():
     counts = np.array([1, 254, 255, 256, 10**12, 3])
     assert bloom_lm._unpacked(bloom_lm._packed(counts)).tolist() == counts.tolist()

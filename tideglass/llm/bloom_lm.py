@@ -24,13 +24,14 @@ no rows. Without any training text, counts are 0. Words of a very long text are
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.arrowtext import SPACED, Words, gram_hash, mix, ragged, row_sums, steps
+from tideglass.llm.arrowtext import SPACED, Words, give_back, gram_hash, mix, ragged, row_sums, steps
 from tideglass.llm.common import materialize
 
 #: Bits of the filter per entry (each sets five bits of one 64-bit word), and the base of the logarithm.
@@ -67,8 +68,10 @@ class Tokens:
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their counts; ``parts`` is emptied, so that it is not held meanwhile."""
     keys = np.concatenate([k for k, _ in parts])
     counts = np.concatenate([c for _, c in parts])
+    parts.clear()
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     new = np.ones(len(keys), dtype=bool)
@@ -77,7 +80,8 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _sums(batches, keys_of):
-    """Distinct keys and their counts over a task's texts, a few million at a time."""
+    """Distinct keys and their counts over a task's texts, a few million at a time. The memory goes back to the
+    system in the end, as workers wait beside those of the next stage."""
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for batch in steps(batches):
@@ -89,10 +93,11 @@ def _sums(batches, keys_of):
             parts = [_summed(parts)]
             size = len(parts[0][0])
             if size > SUM_AT:
-                yield parts[0]
-                parts, size = [], 0
+                yield parts.pop()
+                size = 0
     if parts:
         yield _summed(parts)
+    give_back()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -128,7 +133,7 @@ def _pairs_of_bits() -> np.ndarray:
 _TWO = _pairs_of_bits()
 
 
-def _place(grams: np.ndarray, tag: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+def _place(grams: np.ndarray, tag: int, words: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The word of the filter that a tagged n-gram lies in, and the bits that it sets there: one read
     of memory for each, instead of one for each bit."""
     x = mix(grams + np.uint64((tag * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF))
@@ -136,7 +141,10 @@ def _place(grams: np.ndarray, tag: int, words: int) -> tuple[np.ndarray, np.ndar
     bits = _TWO[x & twelve] | _TWO[(x >> np.uint64(12)) & twelve]
     bits |= np.uint64(1) << ((x >> np.uint64(24)) & np.uint64(63))
     # The upper half scaled to the number of words: no division.
-    return ((x >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32), bits
+    x >>= np.uint64(32)
+    x *= words if isinstance(words, np.ndarray) else np.uint64(words)
+    x >>= np.uint64(32)
+    return x, bits
 
 
 def build_segment(grams: np.ndarray, counts: np.ndarray) -> bytes:
@@ -150,14 +158,23 @@ def build_segment(grams: np.ndarray, counts: np.ndarray) -> bytes:
     return filled.astype("<u8").tobytes()
 
 
-def probe(segment: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Levels of n-grams by a segment's bytes."""
-    filled = segment.view("<u8")
+def probe(
+    segments: np.ndarray, grams: np.ndarray, base: np.ndarray | None = None, words: np.ndarray | None = None
+) -> np.ndarray:
+    """Levels of n-grams, each by the segment of ``words`` 64-bit words that begins at word ``base`` of the bytes,
+    0 if it has no words; without these, by the bytes as one segment. All segments are probed at once, tag by tag."""
+    filled = segments.view("<u8")
+    if base is None or words is None:
+        base, words = np.zeros(len(grams), np.uint64), np.full(len(grams), len(filled), np.uint64)
     out = np.zeros(len(grams), dtype=np.uint8)
-    alive, tag = np.arange(len(grams)), 1
+    alive, tag = np.flatnonzero(words), 1
+    if len(alive) < len(grams):
+        grams, base, words = grams[alive], base[alive], words[alive]
     while len(alive) and tag < 255:
-        place, bits = _place(grams[alive], tag, len(filled))
-        alive = alive[filled[place] & bits == bits]
+        place, bits = _place(grams, tag, words)
+        place += base
+        here = filled[place] & bits == bits
+        alive, grams, base, words = alive[here], grams[here], base[here], words[here]
         out[alive] = tag
         tag += 1
     return out
@@ -173,10 +190,12 @@ def filter_segments(texts: DataFrame, tokens: int) -> DataFrame:
             part = _part(keys, power)
             begin = np.flatnonzero(np.diff(part, prepend=-1))
             end = np.append(begin[1:], len(keys))
+            edges = np.append(begin, len(keys)).astype(np.int32) * 8
+            grams = [None, pa.py_buffer(edges), pa.py_buffer(keys)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[begin]),
-                    pa.array([keys[a:b].tobytes() for a, b in zip(begin, end)]),
+                    pa.Array.from_buffers(pa.binary(), len(begin), grams),
                     pa.array([_packed(counts[a:b]) for a, b in zip(begin, end)]),
                 ],
                 names=["part", "grams", "counts"],
@@ -188,6 +207,7 @@ def filter_segments(texts: DataFrame, tokens: int) -> DataFrame:
             for g, c in zip(table["grams"].to_pylist(), table["counts"].to_pylist())
         ]
         bits = build_segment(*_summed(parts))
+        give_back()
         return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "bits": [bits]})
 
     packed = texts.mapInArrow(split, "part long, grams binary, counts binary")
@@ -230,16 +250,27 @@ def _waves(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
     return waves
 
 
-def _levels(distinct: np.ndarray, power: int, segments: dict[int, np.ndarray]) -> np.ndarray:
-    """Levels of n-grams in order; 0 for those of ranges that are not in ``segments``."""
-    found = np.zeros(len(distinct), dtype=np.uint8)
+@dataclass
+class Segments:
+    """The bytes of a wave's segments one after another: that of range ``i`` has ``words[i]`` 64-bit words from
+    word ``base[i]`` on, none if the range is in another wave."""
+
+    bits: np.ndarray
+    base: np.ndarray
+    words: np.ndarray
+
+    @classmethod
+    def of(cls, parts: list[int], sizes: list[int], bits: bytes, power: int) -> Segments:
+        base, words = np.zeros(1 << power, dtype=np.uint64), np.zeros(1 << power, dtype=np.uint64)
+        words[parts] = np.asarray(sizes, dtype=np.uint64) >> np.uint64(3)
+        base[parts] = np.cumsum(words[parts]) - words[parts]
+        return cls(np.frombuffer(bits, np.uint8), base, words)
+
+
+def _levels(distinct: np.ndarray, power: int, segments: Segments) -> np.ndarray:
+    """Levels of n-grams; 0 for those of ranges that are not in ``segments``."""
     part = _part(distinct, power)
-    begin = np.flatnonzero(np.diff(part, prepend=-1))
-    for a, b in zip(begin, np.append(begin[1:], len(distinct))):
-        segment = segments.get(int(part[a]))
-        if segment is not None:
-            found[a:b] = probe(segment, distinct[a:b])
-    return found
+    return probe(segments.bits, distinct, segments.base[part], segments.words[part])
 
 
 def _both_levels(tokens: Tokens, power: int, segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -295,9 +326,10 @@ def score(
 
     def send(wave: list[int]):
         table = segments.where(F.col("part").isin(wave)).toArrow()
-        return spark.sparkContext.broadcast(
-            dict(zip(table["part"].to_pylist(), table["bits"].to_pylist()))
-        )
+        bits = table["bits"].to_pylist()
+        parts, lengths = table["part"].to_pylist(), [len(b) for b in bits]
+        del table
+        return spark.sparkContext.broadcast((parts, lengths, b"".join(bits)))
 
     state = rows.withColumn("levels", F.lit(None).cast("binary"))
     for wave in waves[:-1]:
@@ -379,13 +411,9 @@ def _carried(batch: pa.RecordBatch, tokens: Tokens, single, pair):
     )
 
 
-def _segments(sent) -> dict[int, np.ndarray]:
-    return {part: np.frombuffer(bits, np.uint8) for part, bits in sent.value.items()}
-
-
 def _find(sent, power: int):
     def run(batches):
-        segments = _segments(sent)
+        segments = Segments.of(*sent.value, power)
         for batch in steps(batches):
             tokens = Tokens(batch.column("text"))
             single, pair, _, _ = _both_levels(tokens, power, segments)
@@ -400,7 +428,7 @@ def _find(sent, power: int):
 
 def _finish(sent, head, power: int, total: int, words: int, mu: float):
     def run(batches):
-        segments = _segments(sent)
+        segments = Segments.of(*sent.value, power)
         keys, counts = head.value
         for batch in steps(batches):
             tokens = Tokens(batch.column("text"))
