@@ -161,6 +161,35 @@ def test_a_worker_lets_go_of_another_operators_cache():
     assert not packing.byte_ids.cache_info().currsize
 
 
+def _counted(cache):
+    encoded, plain = [], cache.encode
+    cache.encode = lambda texts: encoded.extend(texts) or plain(texts)
+    return encoded
+
+
+def test_a_cache_of_ids_holds_many_chunks_in_few_bytes():
+    cache = packing.byte_ids.__wrapped__(BYTE_LEVEL)
+    cache.most = 1 << 20
+    encoded = _counted(cache)
+    column = pa.array([" ".join(f"w{i}" for i in range(18_000))])
+    for _ in range(2):
+        cache.values(*chunks.chunk_spans(column, chunks.BYTE_LEVEL)[:3])
+    assert len(encoded) == 18_000
+
+
+def test_a_full_cache_gives_the_same_ids(texts):
+    cache = packing.byte_ids.__wrapped__(BYTE_LEVEL)
+    cache.most = 1500
+    for low in range(0, len(texts), 7):
+        some = texts[low : low + 7]
+        data, start, end, first = chunks.chunk_spans(pa.array(some, pa.string()), chunks.BYTE_LEVEL)
+        ids, sizes, place = cache.values(data, start, end)
+        begin = np.cumsum(sizes) - sizes
+        found = [[i for p in place[a:b] for i in ids[begin[p] : begin[p] + sizes[p]]] for a, b in zip(first, first[1:])]
+        assert found == byte_ids(some)
+        assert cache.young.nbytes <= 1500 and cache.old.nbytes <= 3000
+
+
 def test_chunks_are_encoded_in_bounded_lists_on_one_thread():
     column = pa.array([" ".join(f"w{i}" for i in range(3 * chunks.ENCODED_AT_ONCE))])
     cache, sizes = packing.byte_ids(BYTE_LEVEL), []

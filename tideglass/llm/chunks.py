@@ -11,11 +11,12 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from tideglass.llm.arrowtext import span_hash, text_bytes
+from tideglass.llm.arrowtext import ragged, span_hash, text_bytes
 
 
 def _bytes(members) -> np.ndarray:
@@ -100,6 +101,81 @@ class ChunkCache:
         self.young[key] = value
 
 
+class IdCache:
+    """Ids that ``encode`` gives for each chunk, remembered by its hash within one Python worker, in arrays: an entry
+    takes 24 bytes and 4 for each id, and no Python object stays.
+
+    ``encode`` takes a list of texts and returns a list of ids for each. New and used chunks are in one of two
+    generations of about ``most`` bytes, and when the younger is full the older is given up, so frequent chunks stay.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 24 << 20):
+        self.encode, self.most, self.young, self.old = encode, most, _Ids(), _Ids()
+
+    def values(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct spans one after another, their numbers, and for each span its place among them."""
+        hashes = span_hash(data, start, end)
+        distinct, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
+        absent = ~self.young.has(distinct)
+        again = np.flatnonzero(absent)[self.old.has(distinct[absent])]
+        if len(again):
+            self.young.add(distinct[again], *self.old.take(distinct[again]))
+            absent[again] = False
+        at = np.flatnonzero(absent)
+        if len(at):
+            self.young.add(distinct[at], *self._encoded(data, start[sample[at]], end[sample[at]]))
+        ids, sizes = self.young.take(distinct)
+        if self.young.nbytes > self.most:
+            # What a single long text has filled far beyond is not kept.
+            self.old = self.young if self.young.nbytes <= 2 * self.most else _Ids()
+            self.young = _Ids()
+        return ids, sizes, place
+
+    def _encoded(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [], []
+        raw = data.tobytes()
+        for low in range(0, len(start), ENCODED_AT_ONCE):
+            some = slice(low, low + ENCODED_AT_ONCE)
+            texts = [raw[a:b].decode("utf-8") for a, b in zip(start[some].tolist(), end[some].tolist())]
+            found = self.encode(texts)
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+
+class _Ids:
+    """Sorted hashes, and where the ids of each begin and how many they are."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.first = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    @property
+    def nbytes(self) -> int:
+        return 24 * len(self.keys) + self.ids.nbytes
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.keys) == 0:
+            return np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys
+
+    def take(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``keys``, which are all here, and their numbers."""
+        at = np.searchsorted(self.keys, keys)
+        return self.ids[ragged(self.first[at], self.size[at])], self.size[at]
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """``keys`` are sorted and new."""
+        first = len(self.ids) + np.cumsum(sizes) - sizes
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.first = np.insert(self.first, at, first)
+        self.size = np.insert(self.size, at, sizes)
+        self.ids = np.concatenate([self.ids, ids])
+
+
 def byte_level_tokenizer(path: str):
     """The tokenizer in a file, which encodes on the core of the task that calls it: each thread of its own
     would hold memory between tasks."""

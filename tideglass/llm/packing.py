@@ -19,7 +19,6 @@ An empty table gives no rows. A very long text is encoded in chunks; its ids are
 
 from __future__ import annotations
 
-import struct
 import zlib
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.llm.arrowtext import kept, ragged, row_sums, steps
-from tideglass.llm.chunks import BYTE_LEVEL, ChunkCache, byte_level_tokenizer, chunk_spans
+from tideglass.llm.chunks import BYTE_LEVEL, IdCache, byte_level_tokenizer, chunk_spans
 from tideglass.llm.common import materialize
 
 #: Pieces of one length that meet in one task, about; and the fewest buckets a length is dealt to.
@@ -37,23 +36,20 @@ BUCKET_ROWS, LEAST_BUCKETS = 50_000, 256
 
 
 @kept
-def byte_ids(path: str) -> ChunkCache:
-    """Ids of chunks, as little-endian 32-bit bytes."""
+def byte_ids(path: str) -> IdCache:
+    """Ids of chunks."""
     tokenizer = byte_level_tokenizer(path)
 
-    def encode(texts: list[str]) -> list[bytes]:
-        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in encoded)]
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return ChunkCache(encode)
+    return IdCache(encode)
 
 
 def encode_rows(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a text column one after another, an end id after each text, and the lengths."""
     data, start, end, first = chunk_spans(column, BYTE_LEVEL)
-    values, place = byte_ids(path).values(data, start, end)
-    ids = np.frombuffer(b"".join(values), dtype="<u4")
-    sizes = np.array([len(value) >> 2 for value in values], dtype=np.int64)
+    ids, sizes, place = byte_ids(path).values(data, start, end)
     counts = sizes[place] if len(place) else np.zeros(0, np.int64)
     lengths = row_sums(counts, first).astype(np.int64) + 1
     out = np.full(int(lengths.sum()), end_id, dtype="<u4")
