@@ -94,3 +94,14 @@ def test_identity_columns_are_hashed_after_typing(spark):
     assert hashes.count() == 1
     assert set(HEALTH_IDENTITY) <= set(HEALTH_SCHEMA.names)
     assert hashed_health(spaced).filter(F.col("Year") == 1).count() == 2
+
+
+def test_keys_of_any_text_stay_apart_and_fingerprints_are_grouped_by_bytes(spark):
+    keys = ["ab", "AB", "aB", "abc", "0abc", "", None, "no hex", "00", "0", "ÿ" * 2, "ab "]
+    rows = [(key, n) for key in keys for n in (2, 1)]
+    df = spark.createDataFrame(rows, "record_hash string, n int")
+    kept = dedup.dedup(df, order_by=["n"])
+    assert kept.schema["record_hash"].dataType == df.schema["record_hash"].dataType
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(key, 1) for key in keys], key=str)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(" in plan and "hashpartitioning(record_hash" not in plan

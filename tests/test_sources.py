@@ -172,6 +172,14 @@ def test_versions_leave_readers_alone(spark, tmp_path):
     assert sorted([first, second]) == [first, second]
 
 
+def test_tables_hold_fingerprints_in_little_more_than_their_bytes(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("sha2(string(id), 256) AS record_hash")
+    sources.write_table(rows.coalesce(1), str(tmp_path / "table"))
+    size = sum(f.stat().st_size for f in (tmp_path / "table").glob("part-*"))
+    assert size < 45 * 20_000
+    assert spark.read.parquet(str(tmp_path / "table")).distinct().count() == 20_000
+
+
 def test_messages_are_compressed_in_files_of_bounded_size(spark, tmp_path):
     rows = spark.range(1000).selectExpr("id", "concat('a long name ', id % 7) AS a_field_that_repeats")
     folder = tmp_path / "messages"
