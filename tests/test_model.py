@@ -164,3 +164,34 @@ def test_many_rows_are_fitted_in_tasks_of_bounded_size(spark, signal, monkeypatc
     assert len(sizes) >= 16 and sum(sizes) == number and max(sizes) < number / 4
     assert features.required_features(model) == (features.NUMERIC_FEATURES, features.CATEGORICAL_FEATURES)
     assert features.score(model, rows).count() == number
+
+
+def test_a_large_forest_is_grown_by_fits_of_bounded_size(spark, signal, monkeypatch):
+    """All trees, on all rows, by fits that hold few trees' numbers with each row and rows dealt evenly."""
+    fits = []
+    forest = features.random_forest
+
+    def watched(target, trees, depth, seed, *rest):
+        made = forest(target, trees, depth, seed, *rest)
+        fit = made._fit
+
+        def fit_watched(frame):
+            sizes = frame.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+            fits.append((trees, depth, seed, sizes))
+            return fit(frame)
+
+        made._fit = fit_watched
+        return made
+
+    monkeypatch.setattr(features, "random_forest", watched)
+    rows = signal.drop("Disease_Name").na.drop().coalesce(1)
+    number = rows.count()
+    ranked = features.feature_importance(rows, n=1000, pct=100, trees=45, depth=4, task_rows=-(-number // 16)).collect()
+    assert sum(trees for trees, *_ in fits) == 45 and all(1 < trees <= features.FIT_TREES for trees, *_ in fits)
+    assert {depth for _, depth, *_ in fits} == {4} and len({seed for _, _, seed, _ in fits}) == len(fits)
+    for *_, sizes in fits:
+        assert sum(sizes) == number and max(sizes) < number / 4
+    assert sum(r["importance"] for r in ranked) == pytest.approx(1)
+    assert {r["feature"] for r in ranked[:3]} == {"Incidence_Rate_Percent", "Country_vec_B", "Country_vec_C"}
+    again = features.feature_importance(rows, n=1000, pct=100, trees=45, depth=4, task_rows=-(-number // 16)).collect()
+    assert [r["feature"] for r in again[:3]] == [r["feature"] for r in ranked[:3]]
