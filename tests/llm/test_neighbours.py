@@ -86,3 +86,19 @@ def test_fewer_rows_than_asked_for_and_none(spark):
     assert empty.columns == ["query_id", "rank", "vec_id", "score"] and empty.collect() == []
     unasked = hamming_index.nearest(frame(spark, rows[2:]), F.col("vec_id") % 20 == 0)
     assert unasked.collect() == []
+
+
+def test_queries_meet_blocks_without_the_driver(spark, monkeypatch):
+    plans, write = {}, hamming_index.materialize
+
+    def noted(session, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(session, df, name)
+
+    monkeypatch.setattr(hamming_index, "materialize", noted)
+    draw = np.random.default_rng(3)
+    rows = frame(spark, [(i, draw.standard_normal(4).tolist()) for i in range(200)])
+    found = hamming_index.nearest(rows, F.col("vec_id") % 2 == 0, k=3, block_rows=20, chunk_queries=10)
+    assert found.count() == 300
+    # Small as they are, neither the blocks nor copies of the queries are broadcast.
+    assert "Broadcast" not in plans["nearest"]

@@ -189,6 +189,12 @@ def _blocks(rows: DataFrame, number: int, wide: str, book: Codebook | None) -> D
     return dealt.mapInArrow(run, "block long, ids binary, vectors binary, codes binary")
 
 
+def _pairs(index: DataFrame, sent: DataFrame) -> DataFrame:
+    """Each block with each chunk of queries, both read from their files where they are paired: a copy
+    of the queries for every block would be broadcast by the size of one copy, through the driver."""
+    return index.crossJoin(sent.hint("shuffle_replicate_nl"))
+
+
 def _search(book: Codebook, radius: int, k: int, dimension: int, wide: str):
     def run(batches):
         for batch in batches:
@@ -257,9 +263,7 @@ def nearest(
             chunks.select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")),
             "queries",
         )
-        pairs = sent.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(number - 1))))
-        pairs = pairs.withColumn("block", F.col("block").cast("long")).join(index, "block")
-        found = pairs.mapInArrow(
+        found = _pairs(index, sent).mapInArrow(
             _search(book, radius, k, dimension, wide), "query_id long, vec_id long, score double"
         )
         ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
