@@ -1,5 +1,6 @@
 import os
 import json
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -16,6 +17,7 @@ from tideglass.session import (
     shuffle_conf,
     storage_conf,
 )
+from tideglass.sources.published import PublishedTable
 
 
 def test_storage_conf_defaults_and_environment():
@@ -210,3 +212,57 @@ def test_medallion_queries_send_compressed_messages(spark, sf_dir, monkeypatch):
     streams.silver_keeps_fields(spark, sf_dir)
     files = [f for root in roots for f in Path(root.removeprefix("file:")).rglob("bronze/*/part-*")]
     assert files and all(f.name.endswith(".gz") for f in files)
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 1 << 40])
+def test_write_in_slices(spark, tmp_path, slice_bytes):
+    rows = spark.createDataFrame(
+        [(None if i % 7 == 0 else str(i % 7), i) for i in range(100)], "key string, n int"
+    )
+    path, sizes = str(tmp_path / "t"), []
+
+    def make(some):
+        sizes.append(some.count())
+        return some.groupBy("key").agg({"n": "min"}).toDF("key", "n")
+
+    rows.write.parquet(path)  # is replaced
+    sources.write_in_slices(rows, path, "key", make, slices=4, slice_bytes=slice_bytes)
+    assert sorted(spark.read.parquet(path).collect(), key=lambda r: r["n"]) == [
+        (None if i == 0 else str(i), i) for i in range(7)
+    ]
+    assert len(sizes) == (4 if slice_bytes == 1 else 1) and sum(sizes) == 100
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    sources.write_in_slices(rows.where("false"), path, "key", make, slice_bytes=slice_bytes)
+    assert spark.read.parquet(path).count() == 0
+    with pytest.raises(ValueError):
+        sources.write_in_slices(spark.read.parquet(path), path, "key", make)
+
+
+def test_waves_hold_each_health_row_once(spark, sf_dir):
+    from tideglass.catalog.health import raw_health, raw_health_waves
+
+    waves = raw_health_waves(spark, sf_dir, waves=3)
+    whole, parts = raw_health(spark, sf_dir), [w.count() for w in waves]
+    assert min(parts) > 0 and sum(parts) == whole.count()
+    assert waves[0].unionAll(waves[1]).unionAll(waves[2]).exceptAll(whole).isEmpty()
+
+
+def test_shuffle_files_end_with_their_write(spark, tmp_path):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        found = (files.apply(i) for i in range(files.size()))
+        return {f.getName() for f in found if f.getName().startswith("shuffle_") and f.length() > 10_000}
+
+    before = shuffled()
+    rows = spark.range(100_000, numPartitions=2).selectExpr("id", "sha2(string(id), 256) AS value").repartition(3, "id")
+    sources.write_table(rows, str(tmp_path / "table"))
+    sources.write_messages(rows, str(tmp_path / "messages"))
+    PublishedTable(spark, str(tmp_path / "published")).replace(rows)
+    for _ in range(100):  # workers are told, not waited for
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.read.parquet(str(tmp_path / "table")).count() == rows.count() == 100_000

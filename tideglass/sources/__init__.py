@@ -8,6 +8,8 @@ from tideglass.sources.tables import (
     read_table_or_none,
     read_typed_csv,
     rows_to_frame,
+    steps_for,
+    write_in_slices,
     write_table,
     write_version,
 )
@@ -26,7 +28,9 @@ __all__ = [
     "read_typed_csv",
     "rows_to_frame",
     "save_model",
+    "steps_for",
     "to_messages",
+    "write_in_slices",
     "write_messages",
     "write_table",
     "write_version",
